@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import langid, packing, quality, toxicity, winnowing
+from lexmill.llm import langid, lines, minhash, packing, quality, toxicity, winnowing
 from lexmill.llm.common import crc_mod
 
 
@@ -51,12 +51,23 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, trees).select("doc_id", _held_out(4, 2), "score", "predicted")
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "_lines.n_lines", "_lines.n_dropped", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
+
+
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_winnowing": op3_winnowing,
     "op4_toxicity": op4_toxicity,
     "op6_language": op6_language,
     "op7_quality": op7_quality,
+    "op8_minhash": op8_minhash,
+    "op10_lines": op10_lines,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_lines": lines.ORACLE}

@@ -114,7 +114,7 @@ def fingerprint_changes(docs: DataFrame, k: int = 16, window: int = 32, id_col:
         key = F.conv(F.rpad(F.substring(F.hex(F.encode(F.col("_id").cast("string"), "UTF-8")), 1, 12), 12, "0"), 16, 10).cast("double")
     points = np.array(sorted(set(rows.select(key.alias("_x")).where("_x is not null").approxQuantile("_x", [i / parts for i in range(1, parts)], 0.1 / parts))) if parts > 1 else [])
 
-    @F.pandas_udf("int")
+    @F.pandas_udf(T.IntegerType())
     def part_of(x: pd.Series) -> pd.Series:
         return pd.Series(np.where(x.isna(), 0, np.searchsorted(points, x.fillna(0).to_numpy(), side="left")).astype("int32"))
 
