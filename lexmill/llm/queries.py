@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import langid, lines, minhash, packing, quality, toxicity, winnowing
+from lexmill.llm import chunks, langid, lines, minhash, packing, quality, suffixes, toxicity, winnowing
 from lexmill.llm.common import crc_mod
 
 
@@ -60,6 +60,14 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_substrings(table(spark, sf_dir, "documents"), 200)
+
+
+def op9_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.dedup_chunks(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_winnowing": op3_winnowing,
@@ -67,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language": op6_language,
     "op7_quality": op7_quality,
     "op8_minhash": op8_minhash,
+    "op5_suffixes": op5_suffixes,
+    "op9_chunks": op9_chunks,
     "op10_lines": op10_lines,
 }
 
