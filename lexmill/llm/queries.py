@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import chunks, langid, lines, minhash, packing, quality, suffixes, toxicity, winnowing
+from lexmill.llm import chunks, decontam, langid, lines, minhash, packing, quality, suffixes, toxicity, winnowing
 from lexmill.llm.common import crc_mod
 
 
@@ -30,6 +30,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), 2048)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.fingerprint_changes(table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ def op9_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
     "op3_winnowing": op3_winnowing,
     "op4_toxicity": op4_toxicity,
     "op6_language": op6_language,
