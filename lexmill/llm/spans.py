@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from lexmill.llm.common import fields, map_rows, shuffle_parts
+from lexmill.llm.common import fields, shuffle_parts
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -47,29 +48,33 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
     spans; texts of the others don't move. Null texts are empty.
     """
     spans = spans.select("key", "start", "end")
-    gathered = spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    packed = F.shiftleft(F.col("start").cast("long"), 32).bitwiseOR(F.col("end").cast("long"))
+    gathered = spans.groupBy("key").agg(F.collect_list(packed).alias("spans"))
     maybe = key_filter(spans.select("key"))
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), row_key(id_col, text_col).alias("key"))
     hit = rows.withColumn("_maybe", maybe.test("key"))
     joined = hit.where("_maybe").drop("_maybe").join(gathered, "key", "left")
-    none = F.lit(None).cast(joined.schema["spans"].dataType)
+    none = F.lit(None).cast("array<long>")
     extra = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept_sha256": T.StringType()} | ({"kept": T.BinaryType()} if keep_text else {})
     schema = fields(docs, id_col, **extra)
+    out_schema = to_arrow_schema(schema)
 
-    def make():
-        def work(cols: dict[str, list]) -> dict:
-            out: dict[str, list] = {f.name: [] for f in schema}
-            for doc, text, own in zip(cols["_id"], cols["_text"], cols["spans"], strict=True):
-                data = text.encode()
-                ends = np.array([(x["start"], x["end"]) for x in own or []], dtype=np.int64).reshape(-1, 2)
-                kept, removed, runs = cut(data, ends[:, 0], ends[:, 1])
-                for n, v in zip(out, (doc, len(data), removed, runs, hashlib.sha256(kept).hexdigest(), kept), strict=False):
-                    out[n].append(v)
-            return out
-
-        return work
-
-    apply = lambda x: map_rows(x.select("_id", "_text", "spans"), schema, make, rows=64)
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 64):
+                batch = whole.slice(at, 64)
+                texts, lists = batch.column(1).to_pylist(), batch.column(2)
+                made: list[list] = [batch.column(0).to_pylist(), [], [], [], [], []]
+                for i, text in enumerate(texts):
+                    data = text.encode()
+                    own = lists[i].values
+                    flat = own.to_numpy(zero_copy_only=False) if own is not None else np.empty(0, np.int64)
+                    kept, removed, runs = cut(data, flat >> 32, flat & 0xFFFFFFFF)
+                    for column, v in zip(made[1:], (len(data), removed, runs, hashlib.sha256(kept).hexdigest(), kept), strict=True):
+                        column.append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(made[i], type=f.type) for i, f in enumerate(out_schema)], schema=out_schema)
+
+    apply = lambda x: x.select("_id", "_text", "spans").mapInArrow(run, schema)
     return apply(joined).unionByName(apply(hit.where(~F.col("_maybe")).withColumn("spans", none)))
 
 
@@ -129,9 +134,9 @@ def key_filter(keys: DataFrame, bits: int = 24) -> KeyFilter:
             part = at[a : a + 4096]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype("int32")), pa.array([packed[i].tobytes() for i in part], pa.binary())], names=["at", "part"])
 
-    pieces = keys.coalesce(max(1, shuffle_parts(keys.sparkSession) // 2)).mapInArrow(run, "at int, part binary")
+    pieces = keys.coalesce(max(1, shuffle_parts(keys.sparkSession) // 8)).mapInArrow(run, "at int, part binary")
     packed = np.zeros((1 << bits) // 8, np.uint8).reshape(-1, _PIECE)
-    for r in pieces.groupBy("at").applyInArrow(_or_parts, "at int, part binary").toLocalIterator():
+    for r in pieces.groupBy("at").applyInArrow(_or_parts, "at int, part binary").collect():
         packed[r["at"]] = np.frombuffer(r["part"], np.uint8)
     return KeyFilter(packed.reshape(-1), bits)
 

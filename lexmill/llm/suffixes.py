@@ -1,9 +1,11 @@
-"""Exact removal of repeated substrings, by prefix doubling over sampled suffixes.
+"""Exact removal of repeated substrings, by ranks of sampled suffixes at growing lengths.
 
 A doubling over all suffixes sorts a position and rank for every byte in every round: 16 bytes and more for each byte of text. Here only sampled suffixes
-are ranked. Rolling hashes name runs of 1, 2, 4 ... 64 bytes; of each window of ``length`` bytes the least-ranked run of 64 bytes is its sample. Equal windows have
-equal samples at the same place, so a window whose sample is unique is unique. Spark sorts the samples' ranks and drops the unique ones; the others are ranked
-again by pairs of that rank and the rank of all windows that share the sample, and what is still unsettled by the rank of each window of ``length`` bytes.
+are ranked. Of each window of ``length`` bytes the start of the run of 8 bytes with the least hash is its sample. Equal windows have equal samples at the
+same place, so a window whose sample's suffix is unique is unique itself. Spark sorts the samples by their ranks at 64 bytes and drops those that are unique;
+the others are ranked again by the pair of that rank and the rank of all windows that share the sample, which reach up to twice ``length``; and what is still
+unsettled by the pair of the first rank and the rank at ``length`` bytes, past which nothing is asked. A rank is a 64-bit name of a run of bytes, found from sums
+that one pass over a text makes.
 """
 
 from __future__ import annotations
@@ -17,8 +19,11 @@ from lexmill.llm.common import cut_lineage, map_rows
 from lexmill.llm.spans import key_filter, remove_spans, row_key
 
 SEED = 64
+_RUN = 8
 _BASE = 0xD1342543DE82EF95
+_INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTES = np.random.default_rng(3).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -27,62 +32,60 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def ranks(values: np.ndarray, length: int) -> np.ndarray:
-    """Names of all runs of ``length`` values: pairs of names at a distance that doubles, the last ones chosen to meet ``length``."""
-    run, size, made, done = values, 1, None, 0
-    while True:
-        if length & size:
-            if made is None:
-                made, done = run, size
-            else:
-                n = len(values) - done - size + 1
-                made = made[:n] * np.uint64(pow(_BASE, size, 1 << 64)) + run[done : done + n]
-                done += size
-        if done == length:
-            return made
-        n = len(run) - size
-        run = run[:n] * np.uint64(pow(_BASE, size, 1 << 64)) + run[size : size + n]
-        size *= 2
+def powers(base: int, n: int) -> np.ndarray:
+    """base^0 .. base^(n-1) modulo 2^64; kept up to a million, and made anew for longer texts."""
+    own = _POWERS.get(base)
+    if own is None or len(own) < n:
+        out = np.ones(max(n, 1 << 16), np.uint64)
+        done = 1
+        while done < len(out):
+            more = min(done, len(out) - done)
+            out[done : done + more] = out[:more] * np.uint64(pow(base, done, 1 << 64))
+            done += more
+        own = out
+        if len(out) <= 1 << 20:
+            _POWERS[base] = out
+    return own[:n]
 
 
 class Samples:
-    """Of one text of at least ``length`` bytes: each sample's place, its rank, the first and last window start that have it, and the rank of all those windows together."""
+    """Of one text of at least ``length`` bytes: each sample's place and rank at 64 bytes, and the first and last window start that have it."""
 
     def __init__(self, data: bytes, length: int) -> None:
-        self.values = _BYTES[np.frombuffer(data, np.uint8)]
+        raw = np.frombuffer(data, np.uint8)
+        n = len(raw)
         self.length = length
-        seeds = mix(ranks(self.values, SEED))
-        n = len(seeds)
-        least = (seeds & np.uint64(0xFFFFFFFF00000000)) | (np.uint64(0xFFFFFFFF) - np.arange(n, dtype=np.uint64))
+        self.sums = np.empty(n + 1, np.uint64)
+        self.sums[0] = 0
+        values = _BYTES[raw]
+        values *= powers(_BASE, n)
+        np.cumsum(values, out=self.sums[1:])
+        starts = n - SEED + 1  # a sample has 64 bytes after it
+        order = np.ndarray((starts,), "<u8", data, strides=(1,)) * np.uint64(0x9E3779B97F4A7C15)
+        order ^= order >> np.uint64(29)
+        order *= np.uint64(0xBF58476D1CE4E5B9)
+        order &= np.uint64(0xFFFFFFFF00000000)
+        order |= np.uint64(0xFFFFFFFF) - np.arange(starts, dtype=np.uint64)  # of equal hashes the last counts
         done, wide = 1, length - SEED + 1
         while done < wide:
             step = min(done, wide - done)
-            least = np.minimum(least[:-step], least[step:])
+            order = np.minimum(order[:-step], order[step:])
             done += step
-        at = (np.uint64(0xFFFFFFFF) - (least & np.uint64(0xFFFFFFFF))).astype(np.int64)
-        self.first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-        self.last = np.append(self.first[1:], len(at)) - 1
-        self.place = at[self.first]
-        self.seed = seeds[self.place]
-
-    def groups(self) -> np.ndarray:
-        """Ranks of the bytes from the first window's start to the last one's end, with the sample's place in them."""
-        n = len(self.values)
-        powers = np.ones(n + 1, np.uint64)
-        done = 1
-        while done <= n:
-            more = min(done, n + 1 - done)
-            powers[done : done + more] = powers[:more] * np.uint64(pow(_BASE, done, 1 << 64))
-            done += more
-        # sums[i]: the values before i, the j-th times base^j; a range's sum is brought to one power by its start.
-        sums = np.append(np.uint64(0), np.cumsum(self.values * powers[:n]))
-        content = (sums[self.last + self.length] - sums[self.first]) * powers[n - self.first]
-        inverse = np.uint64(pow(pow(_BASE, -1, 1 << 64), n, 1 << 64))
-        inner = (self.place - self.first).astype(np.uint64) << np.uint64(32) | (self.last - self.first).astype(np.uint64)
-        return mix(mix(content * inverse) + mix(inner))
+        new = np.flatnonzero(order[1:] != order[:-1]) + 1
+        self.first = np.append(0, new)
+        self.last = np.append(new, len(order)) - 1
+        self.place = (np.uint64(0xFFFFFFFF) - (order[self.first] & np.uint64(0xFFFFFFFF))).astype(np.int64)
+        self.seed = self.rank(self.place, self.place + SEED)
+
+    def rank(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Names of runs of bytes: equal for equal runs, wherever they are."""
+        return mix((self.sums[ends] - self.sums[starts]) * powers(_INVERSE, len(self.sums))[starts])
 
-    def windows(self) -> np.ndarray:
-        return mix(ranks(self.values, self.length))
+    def groups(self, own: np.ndarray) -> np.ndarray:
+        """For the samples ``own``, ranks of the bytes from the first window's start to the last one's end, with the sample's place in them."""
+        first, last = self.first[own], self.last[own]
+        inner = (self.place[own] - first).astype(np.uint64) << np.uint64(32) | (last - first).astype(np.uint64)
+        return mix(self.rank(first, last + self.length) + mix(inner))
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -120,7 +123,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
 
     # Ranks of samples: those that occur more than once, and whether all windows around them are alike.
     def ranked(key, s: Samples):
-        return _signed(s.seed), _signed(s.groups())
+        return _signed(s.seed), _signed(s.groups(np.arange(len(s.seed))))
 
     first = _scan(rows, "seed long, grp long", length, ranked)
     again = first.groupBy("seed").agg(F.count("*").alias("n"), F.min("grp").alias("low"), F.max("grp").alias("high")).where("n > 1")
@@ -129,9 +132,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
 
     # Their occurrences. Where all windows around a sample are alike, each of them is repeated.
     def occurrences(key, s: Samples):
-        own = known.has(s.seed)
-        span = (s.first[own] << 32) | s.last[own]
-        return np.full(int(own.sum()), key, np.int64), _signed(s.seed[own]), _signed(s.groups()[own]), span
+        own = np.flatnonzero(known.has(s.seed))
+        return np.full(len(own), key, np.int64), _signed(s.seed[own]), _signed(s.groups(own)), (s.first[own] << 32) | s.last[own]
 
     met = cut_lineage(_scan(rows, "key long, seed long, grp long, span long", length, occurrences).join(again, "seed"))
     mixed = met.where("mixed")
@@ -169,7 +171,7 @@ def _windows_of(s: Samples, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     sizes = (s.last - s.first + 1)[own]
     starts = np.repeat(s.first[own] - np.append(0, np.cumsum(sizes)[:-1]), sizes) + np.arange(int(sizes.sum()))
-    return mix(s.windows()[starts] + np.repeat(mix(s.seed[own]), sizes)), starts
+    return mix(s.rank(starts, starts + s.length) + np.repeat(mix(s.seed[own]), sizes)), starts
 
 
 def dedup_substrings(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
