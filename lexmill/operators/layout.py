@@ -38,7 +38,7 @@ def split_overflow(rows: DataFrame, columns: list[str], limit: int = STORE_LIMIT
 def join_overflow(parts: DataFrame, key: list[str], columns: list[str], part: str = "part_no") -> DataFrame:
     """The rows before they were split: parts of each cell in order, by the rows' key."""
     gathered = parts.groupBy(*key).agg(*[F.sort_array(F.collect_list(F.struct(part, c))).alias(c) for c in columns])
-    return gathered.select(*key, *[F.array_join(F.transform(c, lambda x, c=c: x[c]), "").alias(c) for c in columns])
+    return gathered.select(*key, *[F.array_join(F.col(f"{c}.{c}"), "").alias(c) for c in columns])
 
 
 def running_sum(rows: DataFrame, order: list[str], value, name: str) -> DataFrame:
