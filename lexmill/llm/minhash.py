@@ -11,12 +11,15 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from lexmill.llm.common import cut_lineage, fields, map_rows
+from lexmill.llm.common import LOWER, UPPER, cut_lineage, fields, map_rows
 from lexmill.llm.components import components
+from lexmill.llm.spans import key_filter
 
 WORDS = 5
 BANDS, ROWS = 32, 4
@@ -150,10 +153,12 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return met.withColumn("agree", _agreeing("signa", "signb")).where(F.col("agree") >= AGREE).select("a", "b", "agree")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, size: int, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) of which 100 * intersection >= percent * union holds for the full sets of shingles."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "digest"), "node")
-    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(ends, "node")
+def _sets(ends: DataFrame, docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, shingles): the full sets of the nodes of ``ends`` (node, digest)."""
+    # A filter of fixed size keeps the texts of most other documents from being shuffled; the join is exact.
+    maybe = key_filter(ends.select(F.xxhash64("node").alias("h")))
+    own = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"))
+    texts = own.where(maybe.test("h")).drop("h").join(ends, "node")
     schema = fields(ends, "node", shingles=T.BinaryType())
 
     def make():
@@ -168,17 +173,25 @@ def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, s
 
         return work
 
-    sets = map_rows(texts.select("node", "text", "digest"), schema, make, rows=64)
-    sets = cut_lineage(sets.dropDuplicates(["node"]))
+    return cut_lineage(map_rows(texts.select("node", "text", "digest"), schema, make, rows=64).dropDuplicates(["node"]))
+
+
+def linked(m: np.ndarray, n: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(m, n, assume_unique=True))
+    return 100 * both >= percent * (len(m) + len(n) - both)
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, size: int, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (a, b) of which 100 * intersection >= percent * union holds for the full sets of shingles."""
+    ends = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "digest"), "node"))
+    sets = _sets(ends, docs, size, id_col, text_col)
     joined = pairs.select("a", "b").join(sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a").join(sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b")
 
     def check():
         def work(cols: dict[str, list]) -> dict:
             out: dict[str, list] = {"a": [], "b": []}
             for a, b, x, y in zip(cols["a"], cols["b"], cols["x"], cols["y"], strict=True):
-                m, n = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(m, n, assume_unique=True))
-                if 100 * both >= percent * (len(m) + len(n) - both):
+                if linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent):
                     out["a"].append(a)
                     out["b"].append(b)
             return out
@@ -237,23 +250,100 @@ def _more(links: DataFrame, likely: DataFrame, first: DataFrame, docs: DataFrame
     return links.union(confirm(apart, docs, nodes, percent, size, id_col, text_col))
 
 
+#: Documents and shingles of a block; two blocks meet in one task.
+BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_000_000
+
+
 def _between(links: DataFrame, comp: DataFrame, shared: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, size: int, id_col: str, text_col: str) -> DataFrame | None:
-    """All links with those between components that meet in a band; None if there is nothing to try.
+    """All links with those between components that meet in a band; None if no band has two components.
 
-    In a band with more than one component, every node outside its largest one meets the band's nodes of other components. The largest one's nodes do not
-    meet each other, so what is compared does not grow with the square of a group of near copies.
+    Documents that such bands connect are a family. A family is dealt into blocks of bounded size, each two of which meet in one task with their signatures
+    and full sets: a task looks at the pairs that share a band, are of different components and agree in enough coordinates, and gives back links alone.
+    So no pairs are shuffled, however many documents are nearly alike without being linked.
     """
     marked = shared.join(comp, "node", "left").select("key", "node", "leader", F.coalesce("component", "node").alias("c"))
-    sizes = marked.groupBy("key", "c").agg(F.count("*").alias("many"))
-    mixed = sizes.groupBy("key").agg(F.max_by("c", F.struct("many", "c")).alias("major"), F.count("*").alias("kinds")).where("kinds > 1").select("key", "major")
-    own = cut_lineage(marked.join(mixed, "key").join(nodes.select("node", "n"), "node"))
-    if own.isEmpty():
-        return None
-    minor = own.where("c != major").select("key", F.col("node").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"))
-    other = own.select("key", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("leader").alias("lead"), "major")
-    far = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("major")) | (F.col("a") > F.col("b"))) & (F.col("a") != F.col("lead")) & (F.col("b") != F.col("lead"))
-    met = minor.join(other, "key").where(far & _alike(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct()
-    likely = cut_lineage(_likely(met, nodes, percent).select("a", "b"))
-    if likely.isEmpty():
+    mixed = marked.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("key")
+    met = cut_lineage(marked.join(mixed, "key").select("node", "leader", "c").distinct())
+    if met.isEmpty():
         return None
-    return links.union(confirm(likely, docs, nodes, percent, size, id_col, text_col))
+    family = components(met.select(F.col("node").alias("a"), F.col("leader").alias("b"))).withColumnRenamed("component", "family")
+    own = cut_lineage(met.select("node", "c").distinct().join(family, "node").join(nodes, "node"))
+    sizes = own.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / F.lit(BLOCK_DOCS)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks"))
+    sets = _sets(own.select("node", "digest"), docs, size, id_col, text_col)
+    full = own.join(sets, "node").join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "c", "n", "sign", "shingles")
+    schema = to_arrow_schema(fields(dealt, "node").add("b", dealt.schema["node"].dataType))
+
+    def meet(part: pa.Table) -> pa.Table:
+        found = _links_in(part, percent)
+        ids = part.column("node").to_pylist()
+        return pa.table([pa.array([ids[x] for x, _ in found], schema.types[0]), pa.array([ids[y] for _, y in found], schema.types[1])], schema=schema)
+
+    kind = dealt.schema["node"].dataType.simpleString()
+    more = dealt.groupBy("family", "i", "j").applyInArrow(meet, f"node {kind}, b {kind}").select(F.col("node").alias("a"), "b")
+    return cut_lineage(links.union(more))
+
+
+def _links_in(part: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Links between rows of two blocks (or of one, if the group is a block with itself) whose components no other link has joined yet."""
+    across = part.column("i")[0].as_py() != part.column("j")[0].as_py()
+    block, n = part.column("block").to_numpy(), part.column("n").to_numpy()
+    comp = pd.factorize(pd.Series(part.column("c").to_pylist()))[0]
+    sign = np.frombuffer(b"".join(x.as_py() for x in part.column("sign")), np.uint8).reshape(len(n), -1)
+    coords, keys = sign[:, : 2 * BANDS * ROWS].copy().view("<u2"), sign[:, 2 * BANDS * ROWS :].copy().view("<u8")
+    up = np.arange(comp.max() + 1)
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    sets: dict[int, np.ndarray] = {}
+    shingles = part.column("shingles")
+
+    def own(x: int) -> np.ndarray:
+        if x not in sets:
+            sets[x] = np.frombuffer(shingles[x].as_py(), np.uint64)
+        return sets[x]
+
+    found = []
+    for band in range(BANDS):
+        order = np.argsort(keys[:, band], kind="stable")
+        starts = np.flatnonzero(np.append(True, keys[order[1:], band] != keys[order[:-1], band]))
+        for a, b in zip(starts, np.append(starts[1:], len(order)), strict=True):
+            rows = order[a:b]
+            for at, x in enumerate(rows[:-1]):
+                y = rows[at + 1 :]
+                y = y[(comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
+                if across:
+                    y = y[block[y] != block[x]]
+                if band and len(y):
+                    y = y[~(keys[y, :band] == keys[x, :band]).any(axis=1)]  # met in an earlier band
+                if len(y):
+                    y = y[(coords[y] == coords[x]).sum(axis=1) >= AGREE]
+                for z in y:
+                    p, q = top(comp[x]), top(comp[z])
+                    if p != q and linked(own(x), own(z), percent):
+                        up[p] = q
+                        found.append((int(x), int(z)))
+    return found
+
+
+#: The same in SQL, on a table ``documents``: all pairs that share a shingle, which is for small tables.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{U}', '{L}'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, hash(unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END)) AS shingle FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, other) AS (SELECT a, b FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a),
+least_of AS (SELECT node, min(other) AS other FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(l.other, d.doc_id)) AS component_id, d.doc_id <= coalesce(l.other, d.doc_id) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_of l ON l.node = d.doc_id
+""".replace("{U}", UPPER).replace("{L}", LOWER)

@@ -85,4 +85,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lines": op10_lines,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_lines": lines.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op8_minhash": minhash.ORACLE, "op10_lines": lines.ORACLE}

@@ -50,10 +50,11 @@ def chain_rows(n=40):
     return rows
 
 
-def test_components_of_random_links(spark):
+@pytest.mark.parametrize("task_links", [7, 1000])
+def test_components_of_random_links(spark, task_links):
     rng = random.Random(0)
     links = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(50)] + [(300, 200 + i) for i in range(30)]
-    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long"), task_links=task_links).collect()}
     least = {x: x for link in links for x in link}
     for _ in least:
         for a, b in links:
