@@ -13,7 +13,7 @@ from lexmill.functions.core import pick
 from lexmill.operators import continuation, dedup, joins, layout, search, shard
 from lexmill.plans import reports
 from lexmill.plans.caseview import CASES_PLAIN, case_view, table
-from lexmill.sources import builders, html, payloads
+from lexmill.sources import builders, courts, html, payloads
 from lexmill.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -420,6 +420,20 @@ def task_grid(spark, d):
     return shard.nclt_grid(spark, "Acme", 2020, 2022).select("bench_id", "year", "pt_code", "st_code", F.col("unit").cast("int").alias("unit"))
 
 
+@query("q_court_dims", "SELECT * FROM (VALUES ('district_court', CAST(36 AS BIGINT), 'Andaman and Nicobar'), ('high_court', 25, 'Allahabad High Court'), ('drt', 39, 'DEBTS RECOVERY TRIBUNAL DELHI (DRT 1)'), ('drat', 5, 'DEBT RECOVERY APPELLATE TRIBUNAL - DELHI'), ('nclt', 15, 'Principal Bench / New Delhi Bench'), ('scdrc', 36, 'ANDAMAN NICOBAR')) t(source, n, first)")
+def court_dims(spark, d):
+    parts = [courts.courts(spark, s).agg(F.count("*").alias("n"), F.min_by("name", "ord").alias("first")).withColumn("source", F.lit(s)) for s in ("district_court", "high_court", "drt", "drat", "nclt", "scdrc")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("q_sc_grid", "SELECT CAST(2025 - y AS INT) AS year, count(*) AS units FROM (SELECT unnest(range(38)) AS t) CROSS JOIN (SELECT unnest(range(3)) AS y) GROUP BY y")
+def sc_grid(spark, d):
+    return courts.sc_grid(spark, 2023, 2025).groupBy("year").agg(F.count("*").alias("units"))
+
+
 @query("q_remaining", """
 SELECT o.o_custkey AS owner, o.o_orderkey AS unit FROM orders o LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS done FROM orders WHERE o_custkey % 2 = 0 GROUP BY o_custkey) p ON o.o_custkey = p.o_custkey WHERE done IS NULL OR o.o_orderkey > done
 """)
