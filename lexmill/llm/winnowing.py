@@ -136,7 +136,7 @@ def fingerprint_changes(docs: DataFrame, k: int = 16, window: int = 32, id_col:
         .select("_id", "_text", F.col("_to").alias("_part"))
     )
     marked = cut.select("_part", F.lit(False).alias("_tail"), "_id", "_text").unionByName(tails.select("_part", F.lit(True).alias("_tail"), "_id", "_text"))
-    dealt = marked.repartition(parts, "_part").sortWithinPartitions("_part", "_tail", F.col("_id").asc_nulls_first(), F.md5(F.col("_text")))
+    dealt = marked.repartitionById(parts, "_part").sortWithinPartitions("_part", "_tail", F.col("_id").asc_nulls_first(), F.md5(F.col("_text")))
 
     def make():
         held: list = []  # the document whose next one is not yet known: part, id, text, fingerprint
