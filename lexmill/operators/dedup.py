@@ -22,11 +22,15 @@ def keyed_groups(rows: DataFrame, page: str = "page_id", row: str = "row_no") ->
 
 
 def audit(groups: DataFrame, page: str = "page_id", order: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    """The groups whose key stands earlier, by page order and then row, with the first one's place. Blank keys are none."""
-    by = Window.partitionBy("key").orderBy(*order, "start_row")
-    ranked = groups.where(F.col("key") != "").withColumn("_n", F.row_number().over(by))
-    ranked = ranked.withColumn("first_page", F.first(page).over(by)).withColumn("first_start", F.first("start_row").over(by))
-    return ranked.where("_n > 1").drop("_n")
+    """The groups whose key stands earlier, by page order and then row, with the first one's place. Blank keys are none.
+
+    Firsts are partial minima before they are shuffled, and the join back is against one row a key, so a key that very many groups share is not gathered in one task.
+    """
+    known = groups.where(F.col("key") != "")
+    place = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate((*order, "start_row"))])
+    firsts = known.groupBy("key").agg(F.min(F.struct(place.alias("place"), F.col(page).alias("page"), F.col("start_row").alias("start"))).alias("_first"))
+    later = known.join(firsts, "key").where(place != F.col("_first.place"))
+    return later.withColumn("first_page", F.col("_first.page")).withColumn("first_start", F.col("_first.start")).drop("_first")
 
 
 def audit_counts(groups: DataFrame) -> DataFrame:
@@ -61,9 +65,9 @@ def delete_duplicates(rows: DataFrame, page: str = "page_id", row: str = "row_no
 
 
 def first_of(rows: DataFrame, key: str, order: list[str], keep_blank: bool = False) -> DataFrame:
-    """The first row of each key in a total order. Rows with a blank key go, or with ``keep_blank`` all stay."""
-    by = Window.partitionBy(key).orderBy(*order)
-    firsts = rows.where(~is_blank(key)).withColumn("_n", F.row_number().over(by)).where("_n = 1").drop("_n")
+    """The first row of each key in a total order, by partial minima. Rows with a blank key go, or with ``keep_blank`` all stay."""
+    known = rows.where(~is_blank(key))
+    firsts = known.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("_row")).select("_row.*")
     return firsts.unionByName(rows.where(is_blank(key))) if keep_blank else firsts
 
 
