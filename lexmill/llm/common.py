@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -23,12 +26,19 @@ def ascii_lower(text: str) -> str:
     return text.lower() if text.isascii() else text.translate(_TO_LOWER)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """An eager checkpoint in the folder that the cluster names in ``spark.checkpoint.dir``; a folder of our own only where it names none, as in tests."""
+def cut_lineage(df: DataFrame, release: bool = False) -> DataFrame:
+    """An eager checkpoint in the folder that the cluster names in ``spark.checkpoint.dir``; a folder of our own only where it names none, as in tests.
+
+    Spark deletes shuffle files once the driver has collected the plans they belong to as garbage, which a driver with much memory seldom does.
+    ``release`` asks for that first, so that a job of several large steps does not keep the files of all of them.
+    """
     spark = df.sparkSession
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexmill-checkpoint-"))
+    if release:
+        gc.collect()
+        context._jvm.System.gc()
     return df.checkpoint(eager=True)
 
 
@@ -46,6 +56,14 @@ def fields(df: DataFrame, *names: str, **more: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, df.schema[n].dataType, True) for n in names] + [T.StructField(n, t, True) for n, t in more.items()])
 
 
+def give_back() -> None:
+    """Returns freed memory to the system. Python workers live on from task to task and would else hold the most that any task needed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # the C library is not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_rows(df: DataFrame, schema: T.StructType, make: Callable[[], Callable[[dict[str, list]], dict]], rows: int = 256) -> DataFrame:
     """Applies a function of column lists to slices of at most ``rows`` rows, so that memory follows the slice and not the Arrow batch.
 
@@ -61,5 +79,9 @@ def map_rows(df: DataFrame, schema: T.StructType, make: Callable[[], Callable[[d
                 piece = batch.slice(at, rows)
                 made = work({n: piece.column(i).to_pylist() for i, n in enumerate(names)})
                 yield pa.RecordBatch.from_arrays([pa.array(made[f.name], type=f.type, from_pandas=False) for f in out], schema=out)
+                del made, piece
+            del batch
+        del work
+        give_back()
 
     return df.mapInArrow(run, schema)

@@ -219,4 +219,4 @@ def identify(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_
 
         return work
 
-    return map_rows(chosen, schema, make, rows=512)
+    return map_rows(chosen, schema, make, rows=192)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lexmill.llm.common import fields, shuffle_parts
+from lexmill.llm.common import fields, give_back, shuffle_parts
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -73,6 +73,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
                     for column, v in zip(made[1:], (len(data), removed, runs, hashlib.sha256(kept).hexdigest(), kept), strict=True):
                         column.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(made[i], type=f.type) for i, f in enumerate(out_schema)], schema=out_schema)
+        give_back()
 
     apply = lambda x: x.select("_id", "_text", "spans").mapInArrow(run, schema)
     return apply(joined).unionByName(apply(hit.where(~F.col("_maybe")).withColumn("spans", none)))
@@ -133,6 +134,8 @@ def key_filter(keys: DataFrame, bits: int = 24) -> KeyFilter:
         for a in range(0, len(at), 4096):
             part = at[a : a + 4096]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype("int32")), pa.array([packed[i].tobytes() for i in part], pa.binary())], names=["at", "part"])
+        del table, packed
+        give_back()
 
     pieces = keys.coalesce(max(1, shuffle_parts(keys.sparkSession) // 8)).mapInArrow(run, "at int, part binary")
     packed = np.zeros((1 << bits) // 8, np.uint8).reshape(-1, _PIECE)
