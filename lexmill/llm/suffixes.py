@@ -112,7 +112,7 @@ def _scan(rows: DataFrame, schema: str, length: int, collect) -> DataFrame:
     return map_rows(rows, kinds, make, rows=64)
 
 
-def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = 26) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = 25) -> DataFrame:
     """(key, start, end): spans of bytes that together cover every window of ``length`` bytes that also starts anywhere else, and nothing more.
 
     ``length`` is at least 65. Texts are read as UTF-8 and windows never cross them; a window may repeat in its own text and overlap itself. The key is
@@ -127,7 +127,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
 
     first = _scan(rows, "seed long, grp long", length, ranked)
     again = first.groupBy("seed").agg(F.count("*").alias("n"), F.min("grp").alias("low"), F.max("grp").alias("high")).where("n > 1")
-    again = cut_lineage(again.select("seed", (F.col("low") != F.col("high")).alias("mixed")))
+    again = cut_lineage(again.select("seed", (F.col("low") != F.col("high")).alias("mixed")), release=True)
     known = key_filter(again.select("seed"), filter_bits)
 
     # Their occurrences. Where all windows around a sample are alike, each of them is repeated.
@@ -135,7 +135,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
         own = np.flatnonzero(known.has(s.seed))
         return np.full(len(own), key, np.int64), _signed(s.seed[own]), _signed(s.groups(own)), (s.first[own] << 32) | s.last[own]
 
-    met = cut_lineage(_scan(rows, "key long, seed long, grp long, span long", length, occurrences).join(again, "seed"))
+    met = cut_lineage(_scan(rows, "key long, seed long, grp long, span long", length, occurrences).join(again, "seed"), release=True)
     mixed = met.where("mixed")
     counts = cut_lineage(mixed.groupBy("seed", "grp").agg(F.count("*").alias("n"), F.min(F.struct("key", "span")).alias("one")))
     start, stop = F.shiftright("span", 32), F.col("span").bitwiseAND(F.lit(0xFFFFFFFF)) + length
@@ -151,7 +151,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
         own = np.flatnonzero(chosen.has(np.full(len(s.place), key, np.int64), (s.first << 32) | s.last))
         return (_signed(_windows_of(s, own)[0]),)
 
-    shared = cut_lineage(_scan(rows, "rank long", length, window_ranks).groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank"))
+    shared = cut_lineage(_scan(rows, "rank long", length, window_ranks).groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank"), release=True)
     common = key_filter(shared, filter_bits)
 
     def window_places(key, s: Samples):
@@ -180,5 +180,5 @@ def dedup_substrings(docs: DataFrame, length: int = 200, id_col: str = "doc_id",
     Every byte that a repeated window of ``length`` bytes covers is removed, in all its occurrences. Null and empty texts are empty and lose nothing, nor do
     texts under ``length`` bytes. Repeated rows are documents of their own, so that each is a repeat of the other. Other columns are not read.
     """
-    spans = cut_lineage(repeated_spans(docs, length, id_col, text_col))
+    spans = cut_lineage(repeated_spans(docs, length, id_col, text_col), release=True)
     return remove_spans(docs, spans, id_col, text_col, keep_text)
