@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lexmill.llm.common import LOWER, UPPER, cut_lineage, fields, map_rows
+from lexmill.llm.common import LOWER, UPPER, cut_lineage, fields, map_rows, shuffle_parts
 from lexmill.llm.components import components
 from lexmill.llm.spans import key_filter
 
@@ -281,6 +281,8 @@ def _between(links: DataFrame, comp: DataFrame, shared: DataFrame, nodes: DataFr
         return pa.table([pa.array([ids[x] for x, _ in found], schema.types[0]), pa.array([ids[y] for _, y in found], schema.types[1])], schema=schema)
 
     kind = dealt.schema["node"].dataType.simpleString()
+    # By block pairs: the exchange by family alone, which the join above leaves, would also do for the groups.
+    dealt = dealt.repartition(shuffle_parts(docs.sparkSession), "family", "i", "j")
     more = dealt.groupBy("family", "i", "j").applyInArrow(meet, f"node {kind}, b {kind}").select(F.col("node").alias("a"), "b")
     return cut_lineage(links.union(more))
 
