@@ -64,7 +64,7 @@ def group(c: Column | str, pattern: str, number: int = 1) -> Column:
 
 def first_filled(*cols: Column) -> Column:
     """The first that is not the empty string, or the empty string."""
-    return F.coalesce(*[F.when(c != "", c) for c in cols], F.lit(""))
+    return F.coalesce(*[let(c, lambda v: F.when(v != "", v)) for c in cols], F.lit(""))
 
 
 def ordered_choice(c: Column, pairs: Iterable[tuple[str, str]], otherwise: Column) -> Column:

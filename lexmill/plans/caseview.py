@@ -49,8 +49,18 @@ def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return spark.sql(text, **{t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in text})
 
 
+def parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly before costly work on each: a small file is one partition, and adaptive execution makes small shuffles one."""
+    return df.repartition(parts(df.sparkSession))
+
+
 def case_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sql(spark, sf_dir, CASES)
+    """Dealt by page, which is what windows over continuation rows are partitioned by."""
+    return sql(spark, sf_dir, CASES).repartition(parts(spark), "page_id")
 
 
 def plain(text: str) -> str:

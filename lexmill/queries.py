@@ -12,7 +12,7 @@ from lexmill.functions import cases, company, dates, parties
 from lexmill.functions.core import pick
 from lexmill.operators import continuation, dedup, joins, layout, search, shard
 from lexmill.plans import reports
-from lexmill.plans.caseview import CASES_PLAIN, case_view, table
+from lexmill.plans.caseview import CASES_PLAIN, case_view, spread, table
 from lexmill.sources import builders, courts, html, payloads
 from lexmill.streaming import ingest
 
@@ -716,7 +716,7 @@ FROM orders
 """)
 def build_district(spark, d):
     k = F.col("o_orderkey").cast("string")
-    hits = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), html.case_page(dc_page(F.col("o_orderkey"), k), "dc").alias("detail"), F.concat(F.lit("C"), k).alias("cino"), F.lit("S").alias("state_name"), F.lit("D").alias("dist_name"), F.lit("X").alias("complex_name"))
+    hits = spread(table(spark, d, "orders")).select(F.col("o_orderkey").alias("k"), html.case_page(dc_page(F.col("o_orderkey"), k), "dc").alias("detail"), F.concat(F.lit("C"), k).alias("cino"), F.lit("S").alias("state_name"), F.lit("D").alias("dist_name"), F.lit("X").alias("complex_name"))
     return builders.build_dc(hits, keep=("k",)).select("k", "caseNumber", "courtNumber", "registrationDate", "petitioner", "petitionerAdvocate", "caseStatus", "uniqueness", "benchName", "listingHistory")
 
 
@@ -732,7 +732,7 @@ def build_high(spark, d):
         F.lit('<table class="order_table"><tr><td>1</td><td>a</td><td>b</td><td>01-03-2024</td><td><a href="cases_qry/cases/o.pdf">x</a></td></tr></table>'),
         F.lit('<table class="history_table"><tr><td>1</td><td>J</td><td>01-03-2024</td><td>05-03-2024</td><td>Orders</td></tr><tr><td>2</td><td>J</td><td>02-03-2024</td><td></td></tr><tr><td>3</td><td>J</td><td>soon</td><td></td></tr></table>'),
     )
-    hits = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), html.case_page(page, "hc").alias("detail"), F.concat(F.lit("H"), k).alias("cino"), F.concat(F.lit("P  "), k).alias("pet_name"), F.lit("R").alias("extra_party"), F.lit("HC X").alias("name"), F.lit("B").alias("bench_name"))
+    hits = spread(table(spark, d, "orders")).select(F.col("o_orderkey").alias("k"), html.case_page(page, "hc").alias("detail"), F.concat(F.lit("H"), k).alias("cino"), F.concat(F.lit("P  "), k).alias("pet_name"), F.lit("R").alias("extra_party"), F.lit("HC X").alias("name"), F.lit("B").alias("bench_name"))
     return builders.build_hc(hits, "https://x/", keep=("k",)).select("k", "caseNumber", "registrationDate", "petitioner", "respondent", "caseStatus", "uniqueness", "benchName", "listingHistory")
 
 
@@ -749,7 +749,7 @@ def build_supreme(spark, d):
         F.lit("case_details"), main, F.lit("judgement_orders"), F.lit('<table><tr><td><a href="u.pdf">01-01-2025</a> [ROP]</td></tr></table>'),
         F.lit("interlocutory_application_documents"), F.lit("<table><tr><td>Serial Number</td><td>a</td><td>b</td><td>c</td><td>d</td><td>e</td></tr><tr><td>1</td><td>7/2025</td><td>IA</td><td></td><td>X</td><td>03-02-2025</td><td>7/2025</td></tr></table>"),
     )
-    hits = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), html.sc_page(payloads.keep_tabs(tabs, "required")).alias("detail"), k.alias("diary_no"), F.lit("2025").alias("diary_year"), F.lit("R").alias("respondent"), F.lit("1").alias("sc_type_code"), k.alias("searched_case_no"), F.lit("2025").alias("sc_year"))
+    hits = spread(table(spark, d, "orders")).select(F.col("o_orderkey").alias("k"), html.sc_page(payloads.keep_tabs(tabs, "required")).alias("detail"), k.alias("diary_no"), F.lit("2025").alias("diary_year"), F.lit("R").alias("respondent"), F.lit("1").alias("sc_type_code"), k.alias("searched_case_no"), F.lit("2025").alias("sc_year"))
     return builders.build_sc(hits, keep=("k",)).select("k", "caseNumber", "registrationDate", "nextListingDate", "petitioner", "respondent", "caseStatus", "uniqueness", "listingHistory", "applicationDetails")
 
 
@@ -760,7 +760,7 @@ UNION ALL SELECT o_orderkey, 'DRT', CAST(o_orderkey AS VARCHAR), '09 JAN 2025',
 UNION ALL SELECT o_orderkey, 'NCDRC', 'R' || o_orderkey, '09 JAN 2025', 'A', 'B CO', 'N', 'PENDING', '' FROM orders
 """)
 def build_tribunals(spark, d):
-    base = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"))
+    base = spread(table(spark, d, "orders")).select(F.col("o_orderkey").alias("k"))
     ks = F.col("k").cast("string")
     nclt = base.select(
         "k", F.concat(F.lit("C "), ks).alias("case_no"), F.lit("2025-01-09 00:00:00").alias("regis_date"), F.lit("Bangalore Bench").alias("bench_location_name"), F.lit("M/S Orbit & ORS").alias("case_title2"),
