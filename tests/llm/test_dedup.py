@@ -209,3 +209,25 @@ def test_chunks_of_odd_rows(spark):
     rows = odd_rows()
     assert chunks.dedup_chunks(spark.createDataFrame(rows, SCHEMA), keep_text=True).count() == len(rows)
     assert chunks.dedup_chunks(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_copies_lose_all_their_bytes(spark):
+    rng = random.Random(7)
+    texts = [prose(rng, rng.randint(1, 150)) for _ in range(40)] + ["ab", "é" * 700, "la " * 500]
+    rows = [(i, x) for i, x in enumerate(texts)] + [(100 + i, x) for i, x in enumerate(texts)]
+    got = {r["doc_id"]: r for r in chunks.dedup_chunks(spark.createDataFrame(rows, "doc_id long, text string"), keep_text=True).collect()}
+    assert all(got[100 + i]["n_removed"] == len(x.encode()) and got[100 + i]["kept"] == b"" for i, x in enumerate(texts))
+
+
+def test_no_chunk_is_short_and_ends_come_back_in_step():
+    rng = random.Random(8)
+    data = prose(rng, 4000).encode()
+    for x in (data, b"a" * 1030, b"ab" * 5000, data[:40], data[:5]):
+        ends = chunks.chunk_ends(x)
+        sizes = np.diff([0, *ends])
+        assert ends[-1] == len(x) and sizes.max() <= 1024 and (sizes.min() >= 32 or ends == [len(x)])
+    ends = chunks.chunk_ends(data)
+    assert len(data) / len(ends) == pytest.approx(48, rel=0.1)
+    moved = chunks.chunk_ends(data[:5000] + b"an insertion" + data[5000:])
+    assert [e for e in moved if e < 4500] == [e for e in ends if e < 4500]
+    assert [e - 12 for e in moved if e > 5512] == [e for e in ends if e > 5500]
