@@ -40,14 +40,14 @@ def statistics(text: str) -> list[float]:
     counts = Counter(words)
     lines = text.split("\n")
     stops = _share_of(table, b".?") * len(data)
-    title = sum(map(str.istitle, words[:: max(1, n // 2000)])) if words else 0
+    title = sum(times for w, times in counts.items() if w.istitle())
     return [
         math.log1p(len(data)), math.log1p(len(words)), float(sizes.mean()), float(sizes.std()),
         float(table[65:91].sum()), float(table[48:58].sum()), float(table[32]), float(table[10]), float(table[128:].sum()),
         _share_of(table, b".,;:?'\"-"), _share_of(table, b"#$%&*+/<=>@\\^_`~{}[]()"), float(table[33]), float(table[124]),
         len(counts) / n, max(counts.values(), default=0) / n, sum(map(operator.eq, words, words[1:])) / n, sum(map(operator.eq, words, words[2:])) / n,
         len(zlib.compress(data, 1)) / len(data), math.log1p(len(lines)), 1 - len(set(lines)) / len(lines),
-        float((sizes > 14).mean()), title / max(1, len(words[:: max(1, n // 2000)])), stops / n, math.log1p(n / (1 + stops)),
+        float((sizes > 14).mean()), title / n, stops / n, math.log1p(n / (1 + stops)),
     ]
 
 

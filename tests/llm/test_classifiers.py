@@ -89,6 +89,13 @@ def test_trees_learn_and_are_flat():
     assert one[0] == pytest.approx(1 / (1 + np.exp(-total)))
 
 
+def test_title_words_are_counted_over_the_whole_text():
+    at = quality.FEATURES.index("title_words")
+    for words in (["Aa", "bb"] * 2000, ["aa", "Bb"] * 2000, ["Aa"] * 9 + ["bb"] * 4991, ["Aa", "bb", "cc", "Dd"]):
+        assert quality.statistics(" ".join(words))[at] == sum(map(str.istitle, words)) / len(words)
+    assert quality.statistics(" \n ")[at] == 0
+
+
 def test_quality_on_held_out_rows(spark):
     rng = random.Random(2)
     rows, labels = [], []
