@@ -175,19 +175,22 @@ def has_letter(text: str) -> bool:
 
 
 def training_sample(docs: DataFrame, per_label: int = 300, chars: int = 384, max_labels: int = 64, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", fold: int = 5) -> list:
-    """At most about ``per_label`` rows of each of the ``max_labels`` commonest labels, with a window of at most ``chars`` code points at a place that the id's hash decides.
+    """About ``per_label`` rows of each label, with a window of at most ``chars`` code points at a place that the id's hash decides.
 
-    Rows whose crc32(id as text) mod ``fold`` is 0, whose id, text or label is null, or whose text is empty are not drawn. Both bounds hold at any input size.
+    No label is left out. Of more than ``max_labels`` labels each has fewer rows, so that all have about as many as ``max_labels`` have, but each at least the row
+    of the least hash. Rows that share id and label are one draw, the least window of theirs. Rows whose crc32(id as text) mod ``fold`` is 0, whose id, text or label is null, or whose text is empty are not drawn.
     """
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("x"), F.col(label_col).cast("string").alias("y")).where((crc_mod(id_col, fold) != 0) & F.col(label_col).isNotNull() & (F.length(text_col) > 0))
-    counts = rows.groupBy("y").count().orderBy(F.desc("count"), "y").limit(max_labels).collect()
+    draw = F.pmod(F.xxhash64(F.col("i").cast("string"), F.lit(11)), F.lit(1 << 30))
+    counts = rows.groupBy("y").agg(F.count("*").alias("n"), F.min(draw).alias("least")).collect()
     if not counts:
         return []
-    draw = F.pmod(F.xxhash64(F.col("i").cast("string"), F.lit(11)), F.lit(1 << 30))
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r["y"], min(1 << 30, int((1 << 30) * 1.2 * per_label / r["count"]) + 1))])
+    each = max(1, per_label * max_labels // max(max_labels, len(counts)))
+    shares = [(r["y"], max(r["least"] + 1, min(1 << 30, int((1 << 30) * 1.2 * each / r["n"]) + 1))) for r in counts]
     start = F.pmod(F.xxhash64(F.col("i").cast("string"), F.lit(12)), F.greatest(F.length("x") - chars + 1, F.lit(1))) + 1
-    drawn = rows.where(F.col("y").isin([r["y"] for r in counts])).where(draw < F.element_at(share, F.col("y")))
-    return drawn.select("y", F.expr("i").cast("string").alias("i"), F.substring("x", start.cast("int"), F.lit(chars)).alias("x")).limit(2 * per_label * len(counts)).collect()
+    drawn = rows.join(F.broadcast(docs.sparkSession.createDataFrame(shares, "y string, share long")), "y").where(draw < F.col("share"))
+    windows = drawn.select("y", F.expr("i").cast("string").alias("i"), F.substring("x", start.cast("int"), F.lit(chars)).alias("x"))
+    return windows.groupBy("y", "i").agg(F.min("x").alias("x")).collect()
 
 
 def fit(docs: DataFrame, per_label: int = 300, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", fold: int = 5, steps: int = 500) -> Network | None:

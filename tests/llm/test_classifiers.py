@@ -52,6 +52,15 @@ def test_language_on_held_out_rows(spark, speech):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_no_label_is_left_out_of_the_sample(spark):
+    rows = [(i, f"text {i}", f"l{i % 90}") for i in range(1800)] + [(2000 + i, f"more {i}", "l0") for i in range(3000)] + [(1, f"again {i}", "l1") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawable = {y for i, _, y in rows if __import__("zlib").crc32(str(i).encode()) % 5}
+    assert {r["y"] for r in langid.training_sample(docs)} == drawable and len(drawable) == 90
+    few = langid.training_sample(docs, per_label=1, max_labels=4)
+    assert {r["y"] for r in few} == drawable and len(few) < 300
+
+
 def test_language_of_odd_rows(spark, speech):
     net = langid.train([x for _, x, _ in speech], [y for _, _, y in speech], steps=20)
     rows = odd_rows()
