@@ -1,11 +1,11 @@
-"""Exact removal of repeated substrings, by ranks of sampled suffixes at growing lengths.
-
-A doubling over all suffixes sorts a position and rank for every byte in every round: 16 bytes and more for each byte of text. Here only sampled suffixes
-are ranked. Of each window of ``length`` bytes the start of the run of 8 bytes with the least hash is its sample. Equal windows have equal samples at the
-same place, so a window whose sample's suffix is unique is unique itself. Spark sorts the samples by their ranks at 64 bytes and drops those that are unique;
-the others are ranked again by the pair of that rank and the rank of all windows that share the sample, which reach up to twice ``length``; and what is still
-unsettled by the pair of the first rank and the rank at ``length`` bytes, past which nothing is asked. A rank is a 64-bit name of a run of bytes, found from sums
-that one pass over a text makes.
+"""Exact removal of repeated substrings, by hashes of windows around sampled places (minimisers).
+
+This is no prefix doubling and no sort of suffixes: a doubling keeps a position and rank for every byte in every round, by reckoning 16 bytes and more for each byte
+of text (not measured here). Of each window of ``length`` bytes the start of the run of 8 bytes with the least hash is its sample. Equal windows have equal samples
+at the same place, so a window whose sample's surroundings are unique is unique itself. Spark groups the samples by a hash of 64 bytes and drops those that are
+unique; the others are grouped again by the pair of that hash and the hash of all windows that share the sample, which reach up to twice ``length``; and what is
+still unsettled by the pair of the first hash and the hash at ``length`` bytes, past which nothing is asked. The lengths are fixed; no round ranks again what the
+one before ranked. A "rank" below is such a 64-bit hash of a run of bytes, found from sums that one pass over a text makes.
 """
 
 from __future__ import annotations
