@@ -1,7 +1,8 @@
 """Line dedup with DataFrame functions alone.
 
-Hashes of line keys are range-partitioned and sorted by document and position, so that the occurrences of a key stream past in order and one key's rows may
-fill many partitions. What comes back for each document is a sparse bitmap of its lines, not text.
+Hashes of line keys are range-partitioned with their document, so that one key's rows may fill many partitions. A hash aggregate finds each key's documents and
+the largest of them, and a join brings frequent keys back to their lines: nothing is sorted, and no occurrences stream past in order. What comes back for each
+document is a sparse bitmap of its lines, not text.
 """
 
 from __future__ import annotations
@@ -35,8 +36,7 @@ def keep_bitmaps(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, id
     """
     parts = shuffle_parts(docs.sparkSession)
     lines = cut_lineage(line_keys(docs, least_chars, id_col, text_col))
-    streamed = lines.repartitionByRange(parts, "h1", "h2", "doc").sortWithinPartitions("h1", "h2", F.desc("doc"), "pos")
-    held = streamed.groupBy("h1", "h2").agg(F.count_distinct("doc").alias("docs"), F.max("doc").alias("keeper"))
+    held = lines.repartitionByRange(parts, "h1", "h2", "doc").groupBy("h1", "h2").agg(F.count_distinct("doc").alias("docs"), F.max("doc").alias("keeper"))
     frequent = cut_lineage(held.where(F.col("docs") >= least_docs).select("h1", "h2", "keeper"))
     dropped = lines.join(frequent, ["h1", "h2"]).where(F.col("doc") != F.col("keeper"))
     word = F.floor(F.col("pos") / WORD).cast("int")
