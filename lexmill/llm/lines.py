@@ -1,13 +1,14 @@
 """Line dedup with DataFrame functions alone.
 
-Hashes of line keys are range-partitioned with their document, so that one key's rows may fill many partitions. A hash aggregate finds each key's documents and
-the largest of them, and a join brings frequent keys back to their lines: nothing is sorted, and no occurrences stream past in order. What comes back for each
-document is a sparse bitmap of its lines, not text.
+Hashes of line keys are range-partitioned and sorted by key, then by document from the largest down, text and position. Windows stream over that order: the
+first document of a key keeps its lines, the third makes the key frequent. A key that a sample shows to be hot is dealt in slots by a hash of the document; each
+slot is streamed on its own, and one row a slot with its count and first document settles the whole key. What comes back for each document is a sparse bitmap of
+its lines, not text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.llm.common import ASCII_SPACE, LOWER, UPPER, cut_lineage, shuffle_parts
@@ -29,16 +30,53 @@ def line_keys(docs: DataFrame, least_chars: int = 20, id_col: str = "doc_id", te
     return keyed.select("doc", "body", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))
 
 
-def keep_bitmaps(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, body, words): for each text that loses a line, the words of its keep bitmap that have a cleared bit, as structs of word and bits in order.
+#: Sampled rows for each partition, and how many of them make a key hot: one with an eighth of a partition's rows or more.
+SAMPLED, HOT = 64, 8
+
+
+def hot_keys(lines: DataFrame, parts: int) -> DataFrame:
+    """(h1, h2) of the keys that have ``HOT`` rows or more in a sample of about ``SAMPLED`` rows a partition, so at most SAMPLED / HOT keys a partition.
+
+    The sample decides alone how rows are dealt, as that of a range partitioning does: no result hangs on it.
+    """
+    share = min(1.0, SAMPLED * parts / max(1, lines.count()))
+    sample = lines.sample(share, seed=10) if share < 1 else lines
+    return sample.groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") >= HOT).select("h1", "h2")
+
+
+def first_occurrences(lines: DataFrame, hot: DataFrame, parts: int) -> DataFrame:
+    """``lines`` with slot (0 but for hot keys), and of a key's rows in its slot: docs, how many ids they are of, first, the largest of these, and head, true for one of them.
 
-    A key that at least ``least_docs`` distinct ids hold keeps its lines in the largest of them only; all of them, if it has several there.
+    ``hot`` is a bounded table. The windows need no exchange and no sort beside the range partitioning and the sort written here.
     """
+    marked = lines.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), ["h1", "h2"], "left")
+    slotted = marked.withColumn("slot", F.when(F.col("_hot"), F.pmod(F.xxhash64("doc"), F.lit(parts)).cast("int") + 1).otherwise(0)).drop("_hot")
+    stream = slotted.repartitionByRange(parts, "h1", "h2", "slot").sortWithinPartitions("h1", "h2", "slot", F.desc("doc"), "body", "pos")
+    key = Window.partitionBy("h1", "h2", "slot")
+    down = key.orderBy(F.desc("doc"))
+    seen = stream.select("*", F.dense_rank().over(down).alias("_nth"), F.first("doc").over(down).alias("first"), (F.row_number().over(down) == 1).alias("head"))
+    return seen.withColumn("docs", F.max("_nth").over(key)).drop("_nth")
+
+
+def dropped_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, body, pos) of the lines that go: those of a key that at least ``least_docs`` distinct ids hold, but in the largest of them."""
     parts = shuffle_parts(docs.sparkSession)
     lines = cut_lineage(line_keys(docs, least_chars, id_col, text_col))
-    held = lines.repartitionByRange(parts, "h1", "h2", "doc").groupBy("h1", "h2").agg(F.count_distinct("doc").alias("docs"), F.max("doc").alias("keeper"))
-    frequent = cut_lineage(held.where(F.col("docs") >= least_docs).select("h1", "h2", "keeper"))
-    dropped = lines.join(frequent, ["h1", "h2"]).where(F.col("doc") != F.col("keeper"))
+    stream = first_occurrences(lines, cut_lineage(hot_keys(lines, parts)), parts)
+    # What is settled as kept goes here; the lines of hot keys wait for the other slots.
+    open_lines = cut_lineage(stream.where((F.col("slot") > 0) | ((F.col("docs") >= least_docs) & (F.col("doc") != F.col("first")))))
+    whole = open_lines.where("slot > 0 AND head").groupBy("h1", "h2").agg(F.sum("docs").alias("_docs"), F.max("first").alias("_first"))
+    settled = open_lines.join(F.broadcast(whole), ["h1", "h2"], "left")
+    return settled.where(F.col("_docs").isNull() | ((F.col("_docs") >= least_docs) & (F.col("doc") != F.col("_first")))).select("doc", "body", "pos")
+
+
+def keep_bitmaps(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, body, words): for each text that loses a line, the words of its keep bitmap that have a cleared bit, as structs of word and bits in order.
+
+    A key that at least ``least_docs`` distinct ids hold keeps its lines in the largest of them only; all of them, if it has several there. A document's bits are
+    gathered in one task, and bounded by its own lines.
+    """
+    dropped = dropped_lines(docs, least_chars, least_docs, id_col, text_col)
     word = F.floor(F.col("pos") / WORD).cast("int")
     words = dropped.groupBy("doc", "body", word.alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, pos % {WORD})")).alias("gone"))
     cleared = words.select("doc", "body", F.struct("word", (F.lit(_FULL).cast("long") - F.col("gone")).alias("bits")).alias("w"))

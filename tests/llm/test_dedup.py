@@ -117,6 +117,34 @@ def test_lines_against_sql(spark):
     assert sum(n for _, _, n, _ in got) > 20
 
 
+def test_hot_lines_against_sql(spark):
+    # One line that a third of all rows hold, also more than once in a document, and keys that the least number of documents has.
+    rng = random.Random(13)
+    hot, pair, three = (prose(rng, 6) for _ in range(3))
+    rows = [(i, "\n".join([prose(rng, 5), hot, *([hot.upper()] * (i % 3 == 0)), *([pair] * (i in (4, 70))), *([three] * (i in (1, 2, 250)))])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = lines.line_keys(docs)
+    assert lines.hot_keys(keyed, 4).count() == 1
+    got = sorted(tuple(r) for r in lines.dedup_lines(docs).selectExpr("doc_id", "_lines.n_lines", "_lines.n_dropped", "sha2(encode(text, 'UTF-8'), 256)").collect())
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    assert got == sorted(con.execute(lines.ORACLE).fetchall())
+    lost = {i: n for i, _, n, _ in got}
+    assert [lost[i] for i in (0, 1, 4, 70, 250, 299)] == [2, 2, 1, 1, 1, 0]
+    slots = {r["slot"] for r in lines.first_occurrences(keyed, lines.hot_keys(keyed, 4), 4).select("slot").distinct().collect()}
+    assert slots == {0, 1, 2, 3, 4}
+
+
+def test_lines_are_decided_from_the_sorted_range_partitions(spark):
+    keyed = lines.line_keys(spark.createDataFrame([(1, "x" * 30)], "doc_id long, text string"))
+    plan = lines.first_occurrences(keyed, keyed.select("h1", "h2").limit(1), 4)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange rangepartitioning", 1)
+    steps = [x.strip(" +-:*()0123456789").split(" ")[0] for x in above.splitlines()]
+    assert steps.count("Sort") == 1 and steps.count("Window") == 2 and "Exchange" not in above and "Aggregate" not in above
+    assert "doc#" in above.split("Sort [")[1] and "pos#" in above.split("Sort [")[1] and "REPARTITION_BY_NUM" in below
+
+
 def test_lines_of_odd_rows(spark):
     rows = odd_rows()
     out = lines.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()
