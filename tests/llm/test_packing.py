@@ -13,20 +13,32 @@ PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_same_ids_as_the_tokenizer_file():
-    ours, theirs = packing.load_encoder(PATH), Tokenizer.from_file(PATH)
+    ours, theirs = packing.Encoder(PATH), Tokenizer.from_file(PATH)
     for text in [*(r[1] or "" for r in odd_rows()), "it's  a b c\r\n\r\n 123 ½ ١٢ <|endoftext|>x", "日本語\x1c\x1d​", "\u0085 a", "a" * 300]:
-        assert ours.encode(text, allowed_special="all") == theirs.encode(text, add_special_tokens=False).ids
+        assert ours.ids(text) == theirs.encode(text, add_special_tokens=False).ids
+    assert ours.slow is None
+
+
+def test_same_ids_of_long_runs():
+    ours = packing.Encoder(PATH)
+    for text in (" " * 1_000_000 + "x", "\n" * 1_000_000, "a" * 1_000_000, "x" + " \t" * 500_000, "." * 1_000_000):
+        assert ours.ids(text) == _THEIRS.encode(text, add_special_tokens=False).ids
+
+
+def test_a_long_run_is_packed(spark):
+    docs = spark.createDataFrame([(1, " " * 1_000_000 + "x"), (2, "y")], "doc_id long, text string")
+    pieces = packing.pack_documents(docs, PATH).collect()
+    assert sum(r["length"] for r in pieces if r["doc_id"] == 1) == 1_000_001 and max(r["length"] for r in pieces) == 2048
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=60))
 def test_same_ids_on_any_text(text):
-    assert packing.load_encoder_cached().encode(text, allowed_special="all") == _THEIRS.encode(text, add_special_tokens=False).ids
+    assert _OURS.ids(text) == _THEIRS.encode(text, add_special_tokens=False).ids
 
 
 _THEIRS = Tokenizer.from_file(PATH)
-_OURS = packing.load_encoder(PATH)
-packing.load_encoder_cached = lambda: _OURS
+_OURS = packing.Encoder(PATH)
 
 
 @settings(max_examples=100, deadline=None)
