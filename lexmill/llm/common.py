@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,22 +27,60 @@ def ascii_lower(text: str) -> str:
     return text.lower() if text.isascii() else text.translate(_TO_LOWER)
 
 
-def cut_lineage(df: DataFrame, release: bool = False) -> DataFrame:
-    """An eager checkpoint in the folder that the cluster names in ``spark.checkpoint.dir``; a folder of our own only where it names none, as in tests.
-
-    Spark deletes shuffle files once the driver has collected the plans they belong to as garbage, which a driver with much memory seldom does.
-    ``release`` asks for that first, so that a job of several large steps does not keep the files of all of them.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the context's checkpoint folder, or the one ``spark.checkpoint.dir`` names. It is a folder of our own in local mode alone, as in tests."""
     context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexmill-checkpoint-"))
+    known = context._jsc.sc().getCheckpointDir()
+    if not known.isDefined():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not (context.master or "").split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexmill-checkpoint-"))
+        known = context._jsc.sc().getCheckpointDir()
+    return known.get()
+
+
+def _release(spark: SparkSession) -> None:
+    """Spark deletes shuffle files once the driver has collected the plans they belong to as garbage, which a driver with much memory seldom does."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def cut_lineage(df: DataFrame, release: bool = False) -> DataFrame:
+    """An eager checkpoint in the shared folder. ``release`` asks for the release of shuffle files first, so that a job of several large steps does not keep those of all."""
+    shared_folder(df.sparkSession)
     if release:
-        gc.collect()
-        context._jvm.System.gc()
+        _release(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+class Written:
+    """Named tables of one job, as Parquet in the shared folder. Each is deleted when it is dropped."""
+
+    def __init__(self, spark: SparkSession, job: str) -> None:
+        self.spark, self.at = spark, f"{shared_folder(spark)}/{job}-{uuid.uuid4().hex}"
+
+    def write(self, name: str, df: DataFrame, release: bool = False) -> DataFrame:
+        if release:
+            _release(self.spark)
+        df.write.parquet(f"{self.at}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.at}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """For tables that no later step reads."""
+        for n in names:
+            delete(self.spark, f"{self.at}/{n}")
+
+    def close(self) -> None:
+        delete(self.spark, self.at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -64,11 +103,23 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+#: Bytes of an Arrow batch on its way to a Python worker; Spark's own limit is 10,000 rows of any size.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes, so that long texts make no large ones in the memory of the JVM and the worker."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def map_rows(df: DataFrame, schema: T.StructType, make: Callable[[], Callable[[dict[str, list]], dict]], rows: int = 256) -> DataFrame:
     """Applies a function of column lists to slices of at most ``rows`` rows, so that memory follows the slice and not the Arrow batch.
 
     ``make`` runs once in each task and returns the function; what it returns has one list or array for each field of ``schema``, of any common length.
     """
+    bound_batches(df.sparkSession)
     names = df.columns
     out = to_arrow_schema(schema)
 

@@ -155,10 +155,10 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def _sets(ends: DataFrame, docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     """(node, shingles): the full sets of the nodes of ``ends`` (node, digest)."""
-    # A filter of fixed size keeps the texts of most other documents from being shuffled; the join is exact.
+    # While a filter is small enough to be sent, it keeps the texts of most other documents from being shuffled; the join is exact.
     maybe = key_filter(ends.select(F.xxhash64("node").alias("h")))
     own = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"))
-    texts = own.where(maybe.test("h")).drop("h").join(ends, "node")
+    texts = (own.where(maybe.test("h")) if maybe else own).drop("h").join(ends, "node")
     schema = fields(ends, "node", shingles=T.BinaryType())
 
     def make():

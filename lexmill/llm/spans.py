@@ -1,8 +1,9 @@
-"""Cutting spans of bytes out of documents, and fixed-size filters of keys."""
+"""Cutting spans of bytes out of documents, and filters of keys that are sized by what they hold."""
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lexmill.llm.common import fields, give_back, shuffle_parts
+from lexmill.llm.common import bound_batches, cut_lineage, fields, give_back, shuffle_parts
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -44,15 +45,16 @@ def cut(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, int,
 def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """One row for each row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes.
 
-    ``spans`` has (key, start, end) of the rows' keys, in bytes of UTF-8, and may overlap. Only rows that a filter of the keys lets pass are joined with their
-    spans; texts of the others don't move. Null texts are empty.
+    ``spans`` has (key, start, end) of the rows' keys, in bytes of UTF-8, and may overlap. Rows are joined with their spans; while a filter of the keys is small
+    enough to be sent to all tasks, texts that it holds back are not moved for that. Null texts are empty.
     """
+    bound_batches(docs.sparkSession)
     spans = spans.select("key", "start", "end")
     packed = F.shiftleft(F.col("start").cast("long"), 32).bitwiseOR(F.col("end").cast("long"))
     gathered = spans.groupBy("key").agg(F.collect_list(packed).alias("spans"))
-    maybe = key_filter(spans.select("key"))
+    maybe = key_filter(cut_lineage(spans.select("key").distinct()))
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), row_key(id_col, text_col).alias("key"))
-    hit = rows.withColumn("_maybe", maybe.test("key"))
+    hit = rows.withColumn("_maybe", maybe.test("key") if maybe else F.lit(True))
     joined = hit.where("_maybe").drop("_maybe").join(gathered, "key", "left")
     none = F.lit(None).cast("array<long>")
     extra = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept_sha256": T.StringType()} | ({"kept": T.BinaryType()} if keep_text else {})
@@ -76,7 +78,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
         give_back()
 
     apply = lambda x: x.select("_id", "_text", "spans").mapInArrow(run, schema)
-    return apply(joined).unionByName(apply(hit.where(~F.col("_maybe")).withColumn("spans", none)))
+    return apply(joined).unionByName(apply(hit.where(~F.col("_maybe")).withColumn("spans", none))) if maybe else apply(joined)
 
 
 def combined(*keys: np.ndarray) -> np.ndarray:
@@ -94,10 +96,7 @@ def _slots(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class KeyFilter:
-    """A Bloom filter of 2^bits bits and two hashes: False only for keys that were not put in.
-
-    Its size is fixed, so it may be sent to all tasks at any input size; with more keys it lets more others pass.
-    """
+    """A Bloom filter of 2^bits bits and two hashes: False only for keys that were not put in."""
 
     def __init__(self, packed: np.ndarray, bits: int) -> None:
         self.packed, self.bits = packed, bits
@@ -120,9 +119,21 @@ class KeyFilter:
 _PIECE = 1024
 
 
-def key_filter(keys: DataFrame, bits: int = 24) -> KeyFilter:
-    """The filter of a table of 64-bit keys of one or more columns. Tasks fill a filter each and send the pieces of it that are not empty; the driver gets each piece once."""
+#: Bits for each key, so that about one stranger in 30 passes, and the largest filter that is made: 2^25 bits, 4 MB, for 3.3 million keys.
+BITS_A_KEY, MOST_BITS = 10, 25
+
+
+def key_filter(keys: DataFrame, most_bits: int = MOST_BITS) -> KeyFilter | None:
+    """The filter of a table of 64-bit keys of one or more columns; None for more keys than the largest filter is good for.
+
+    It only saves work before an exact join, which is there at any size. The table is read twice. Tasks fill a filter each and send the pieces of it that are not
+    empty; the driver gets each piece once.
+    """
     count = len(keys.columns)
+    bits = max(13, math.ceil(math.log2(BITS_A_KEY * max(1, keys.count()))))
+    if bits > most_bits:
+        return None
+    bound_batches(keys.sparkSession)
 
     def run(batches):
         table = np.zeros(1 << bits, bool)

@@ -5,7 +5,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from lexmill.llm import chunks, components, lines, minhash, spans, suffixes
+from lexmill.llm import chunks, common, components, lines, minhash, ranks, spans, suffixes
 from tests.llm.helpers import SCHEMA, odd_rows, prose
 
 
@@ -179,9 +179,54 @@ def test_substrings_against_all_windows(spark, seed):
         rows.append((100 + i, x[:p] + "#" + x[p + 1 :], None, None, None, None, None, None, None))
     docs = spark.createDataFrame(rows, SCHEMA)
     got = sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffixes.dedup_substrings(docs, 90).collect())
+    assert got == plainly(rows, 90)
+
+
+def plainly(rows, length):
     texts = [(r[1] or "").encode() for r in rows]
-    want = sorted((len(x), n, s, hashlib.sha256(k).hexdigest()) for x, (k, n, s) in zip(texts, plain_removed(texts, 90), strict=True))
-    assert got == want
+    return sorted((len(x), n, s, hashlib.sha256(k).hexdigest()) for x, (k, n, s) in zip(texts, plain_removed(texts, length), strict=True))
+
+
+@pytest.mark.parametrize("length", [65, 200])
+def test_substrings_at_other_lengths(spark, length):
+    # Passages a little shorter and longer than the length, at edges of texts and within them, a period, and one passage in a third of all texts.
+    rng = random.Random(length)
+    hot, rows = prose(rng, 80), []
+    passages = [prose(rng, 200)[: length + d] for d in (-2, -1, 0, 1, 2, 60, 300) for _ in "ab"]
+    for i in range(240):
+        own, other = prose(rng, rng.randint(5, 60)), prose(rng, rng.randint(5, 60))
+        mid = hot if i % 3 == 0 else rng.choice(passages)
+        rows.append((i, (f"{own} {mid} {other}", f"{mid}{own}", f"{own}{mid}", f"{own}{mid}{other}{mid}")[i % 4]))
+    rows += [(300, "ab" * 400), (301, "x" * 900), (302, "x" * (length - 1)), (303, "x" * length), (304, "é" * length)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffixes.dedup_substrings(docs, length).collect())
+    assert got == plainly(rows, length)
+
+
+def test_ranks_across_ranges(spark):
+    rng = random.Random(4)
+    pairs = [(5, 5)] * 300 + [(rng.randrange(-9, 9), rng.randrange(40)) for _ in range(200)] + [(7, -(1 << 62))]
+    rows = [(a, b, i) for i, (a, b) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "a long, b long, at long")
+    tables = common.Written(spark, "test")
+    assert df.repartitionByRange(4, "a", "b", "at").where("a = 5 and b = 5").selectExpr("spark_partition_id() as p").distinct().count() > 1
+    got = {r["at"]: r for r in ranks.rerank(tables, "all", df, ["a", "b"], ["at"], keep_alone=True).collect()}
+    assert sorted(got) == list(range(len(rows)))
+    assert all(got[i]["alone"] == (pairs.count(pairs[i]) == 1) for i in got)
+    order = sorted({got[i]["rank"]: pairs[i] for i in got}.items())
+    assert [p for _, p in order] == sorted(set(pairs)) and len({(got[i]["rank"], pairs[i]) for i in got}) == len(order)
+    assert {r["at"] for r in ranks.rerank(tables, "some", df, ["a", "b"], ["at"]).collect()} == {i for i in got if not got[i]["alone"]}
+    assert ranks.rerank(tables, "none", df.limit(0), ["a", "b"], ["at"]).collect() == []
+    tables.close()
+
+
+def test_sums_of_both_ways_name_runs_wherever_they_are():
+    data = np.frombuffer(b"abcabcxabd", np.uint8)
+    names = suffixes.Names(data)
+    for way in (0, 1):
+        a, b, c = names.of(np.array([0, 3, 7]), np.array([3, 6, 10]), way)
+        assert a == b != c
+    assert names.of(np.array([0]), np.array([3]), 0) != names.of(np.array([0]), np.array([3]), 1)
 
 
 def test_substrings_of_nothing(spark):
@@ -192,9 +237,19 @@ def test_substrings_of_nothing(spark):
 
 def test_filter_has_no_false_negatives(spark):
     keys = [(i * 7919 - 5000, i) for i in range(3000)]
-    made = spans.key_filter(spark.createDataFrame(keys, "a long, b long").repartition(3), 16)
+    df = spark.createDataFrame(keys, "a long, b long").repartition(3)
+    made = spans.key_filter(df)
     a, b = (np.array(x) for x in zip(*keys, strict=True))
-    assert made.has(a, b).all() and made.has(a + 1, b).mean() < 0.5
+    assert made.has(a, b).all() and made.has(a + 1, b).mean() < 0.1
+    assert spans.key_filter(df, 12) is None
+
+
+def test_spans_are_removed_without_a_filter(spark, monkeypatch):
+    monkeypatch.setattr(spans, "key_filter", lambda keys: None)
+    monkeypatch.setattr(suffixes, "key_filter", lambda keys: None)
+    rows = odd_rows()
+    got = suffixes.dedup_substrings(spark.createDataFrame(rows, SCHEMA), 90).collect()
+    assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == plainly(rows, 90)
 
 
 def test_spans_merge():
@@ -223,7 +278,7 @@ def test_chunks_against_a_plain_pass(spark):
         data, kept, at = (x or "").encode(), b"", 0
         for end in chunks.chunk_ends(data) if data else []:
             piece = data[at:end]
-            if len(piece) < 32 or piece not in seen:
+            if piece not in seen:
                 kept += piece
             seen.add(piece)
             at = end
