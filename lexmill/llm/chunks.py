@@ -2,7 +2,8 @@
 
 A gear hash rolls over the last 32 bytes of a document and proposes ends of chunks where it falls under a threshold. They are taken in order of their hash, and a
 place too near to one taken before is passed over, so that no chunk is short. A choice hangs on the content around it alone, so that boundaries come back in
-step after an insertion. Every chunk is deduplicated by digest: a copy of a text loses all its bytes.
+step after an insertion. Every chunk is deduplicated by digest, and runs of repeated chunks are removed: a lone chunk of a few words that two texts happen to share is
+no repeated passage and stays, while a copy of a text loses all its bytes.
 """
 
 from __future__ import annotations
@@ -96,11 +97,12 @@ def repeated_chunks(docs: DataFrame, mean: int = 48, least: int = 32, most: int
     return chunks.join(firsts, ["d1", "d2"]).where((F.col("key") != F.col("k")) | (F.col("start") != F.col("s"))).select("key", "start", "end")
 
 
-def dedup_chunks(docs: DataFrame, mean: int = 48, least: int = 32, most: int = 1024, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """One row for each row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes, after its repeated chunks are removed.
+def dedup_chunks(docs: DataFrame, mean: int = 48, least: int = 32, most: int = 1024, least_run: int = 96, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """One row for each row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes, after runs of repeated chunks are removed.
 
-    No chunk is exempt: a text that another row had before loses all its bytes, also one under ``least`` bytes. Null and empty texts are empty and lose nothing; a
-    null id comes first in the order. Rows that are equal in id and text are one document: none of them is a repeat of another. Other columns are not read.
+    A run is of chunks next to each other that all stood somewhere before; one of under ``least_run`` bytes, two chunks of the mean size, stays. A text all of whose
+    chunks stood before loses all its bytes, also one under ``least`` bytes. Null and empty texts are empty and lose nothing; a null id comes first in the order.
+    Rows that are equal in id and text are one document: none of them is a repeat of another. Other columns are not read.
     """
     spans = cut_lineage(repeated_chunks(docs, mean, least, most, id_col, text_col))
-    return remove_spans(docs, spans, id_col, text_col, keep_text)
+    return remove_spans(docs, spans, id_col, text_col, keep_text, least_run)

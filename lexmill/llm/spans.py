@@ -29,11 +29,14 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return s[new], e[np.append(np.flatnonzero(new)[1:] - 1, len(e) - 1)]
 
 
-def cut(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, int, int]:
-    """(what is left, bytes removed, maximal removed runs)."""
+def cut(data: bytes, starts: np.ndarray, ends: np.ndarray, least: int = 0) -> tuple[bytes, int, int]:
+    """(what is left, bytes removed, maximal removed runs). Runs of under ``least`` bytes stay, but for one that is the whole text."""
     if not len(starts):
         return data, 0, 0
     s, e = merged(starts, ends)
+    if least:
+        long = (e - s >= least) | (e - s == len(data))
+        s, e = s[long], e[long]
     kept, at = [], 0
     for a, b in zip(s.tolist(), e.tolist(), strict=True):
         kept.append(data[at:a])
@@ -42,11 +45,11 @@ def cut(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, int,
     return b"".join(kept), int((e - s).sum()), len(s)
 
 
-def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
+def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, least: int = 0) -> DataFrame:
     """One row for each row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes.
 
     ``spans`` has (key, start, end) of the rows' keys, in bytes of UTF-8, and may overlap. Rows are joined with their spans; while a filter of the keys is small
-    enough to be sent to all tasks, texts that it holds back are not moved for that. Null texts are empty.
+    enough to be sent to all tasks, texts that it holds back are not moved for that. Runs of under ``least`` bytes stay (see cut). Null texts are empty.
     """
     bound_batches(docs.sparkSession)
     spans = spans.select("key", "start", "end")
@@ -71,7 +74,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
                     data = text.encode()
                     own = lists[i].values
                     flat = own.to_numpy(zero_copy_only=False) if own is not None else np.empty(0, np.int64)
-                    kept, removed, runs = cut(data, flat >> 32, flat & 0xFFFFFFFF)
+                    kept, removed, runs = cut(data, flat >> 32, flat & 0xFFFFFFFF, least)
                     for column, v in zip(made[1:], (len(data), removed, runs, hashlib.sha256(kept).hexdigest(), kept), strict=True):
                         column.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(made[i], type=f.type) for i, f in enumerate(out_schema)], schema=out_schema)

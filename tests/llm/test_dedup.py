@@ -256,6 +256,8 @@ def test_spans_merge():
     data = b"0123456789"
     assert spans.cut(data, np.array([5, 1, 3]), np.array([7, 2, 5])) == (b"02789", 5, 2)
     assert spans.cut(data, np.array([], int), np.array([], int)) == (data, 0, 0)
+    assert spans.cut(data, np.array([5, 1, 3]), np.array([7, 2, 5]), 2) == (b"012789", 4, 1)
+    assert spans.cut(data, np.array([0, 4]), np.array([4, 10]), 99) == (b"", 10, 1)
 
 
 def test_gear_hash_depends_on_the_last_32_bytes():
@@ -273,15 +275,19 @@ def test_chunks_against_a_plain_pass(spark):
     passage = prose(rng, 90)
     rows = [(r[0], r[1]) for r in odd_rows() if r[0] is not None][:-1]
     rows += [(200 + i, prose(rng, 30) + " " + passage + " " + prose(rng, 20)) for i in range(6)]
+    rows += [(300 + i, prose(rng, 30) + " " + passage[:70] + " " + prose(rng, 20)) for i in range(6)]
     seen, want = set(), {}
     for i, x in rows:
-        data, kept, at = (x or "").encode(), b"", 0
+        data, at, runs = (x or "").encode(), 0, []
         for end in chunks.chunk_ends(data) if data else []:
-            piece = data[at:end]
-            if piece not in seen:
-                kept += piece
-            seen.add(piece)
+            old = data[at:end] in seen
+            if runs and runs[-1][0] == old:
+                runs[-1][1] += data[at:end]
+            else:
+                runs.append([old, data[at:end]])
+            seen.add(data[at:end])
             at = end
+        kept = b"".join(x for old, x in runs if not old or (len(x) < 96 and x != data))
         want[i] = (len(data), len(data) - len(kept), hashlib.sha256(kept).hexdigest())
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in chunks.dedup_chunks(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == want
