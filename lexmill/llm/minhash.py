@@ -12,7 +12,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -25,6 +25,8 @@ WORDS = 5
 BANDS, ROWS = 32, 4
 #: Of the signature's coordinates, how many must agree before full sets are compared. At a similarity of 0.75 fewer do in about one pair of 10^10.
 AGREE = BANDS * ROWS // 2
+#: Documents and shingles of a block; two blocks meet in one task.
+BLOCK_DOCS, BLOCK_SHINGLES = 4096, 4_000_000
 _ODD = 0x9E3779B97F4A7C15
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -201,12 +203,13 @@ def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, s
     return cut_lineage(map_rows(joined.select("a", "b", "x", "y"), fields(pairs, "a", "b"), check, rows=128))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, size: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, size: int = WORDS, id_col: str = "doc_id", text_col: str = "text", block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """One row for each row of ``docs``: id, n_shingles, component_id (the least id reachable by links, its own included) and kept (id = component_id).
 
     Documents are linked if 100 * intersection >= ``percent`` * union of their sets of shingles. A null or empty text, or one without words, has no set and
     is linked with nothing. Rows that share an id are one document; for links its set is that of the least digest among them. Rows with a null id are
-    linked with nothing, have a null component and are kept. Equal sets are one node, so that copies make no pairs. Other columns are not read.
+    linked with nothing, have a null component and are kept. Equal sets are one node, so that copies make no pairs. Other columns are not read. The block sizes
+    bound what a task holds, and change no result.
     """
     rows = cut_lineage(sketches(docs, size, id_col, text_col))
     sets = rows.where(F.col("digest").isNotNull() & F.col(id_col).isNotNull())
@@ -224,7 +227,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = WORDS, id_co
     links = confirm(first, docs, nodes, percent, size, id_col, text_col)
     links = _more(links, likely, first, docs, nodes, percent, size, id_col, text_col)
     comp = components(links)
-    links = _between(links, comp, shared, nodes, docs, percent, size, id_col, text_col)
+    links = _between(links, comp, shared, nodes, docs, percent, size, id_col, text_col, block_docs, block_shingles)
     comp = components(links) if links is not None else comp
     # Every row finds its set's node, then its component.
     found = least.join(comp, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
@@ -250,72 +253,82 @@ def _more(links: DataFrame, likely: DataFrame, first: DataFrame, docs: DataFrame
     return links.union(confirm(apart, docs, nodes, percent, size, id_col, text_col))
 
 
-#: Documents and shingles of a block; two blocks meet in one task.
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_000_000
-
+def _blocks(own: DataFrame, block_docs: int, block_shingles: int) -> DataFrame:
+    """``own`` (node, c, family, n, ..) with block, the blocks [low, high) of its component if that has some of its own, and how many the family has.
 
-def _between(links: DataFrame, comp: DataFrame, shared: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, size: int, id_col: str, text_col: str) -> DataFrame | None:
+    A component of more than a block has blocks of its own, which need not meet one another; the other components of a family share blocks.
+    """
+    fill = F.greatest(F.ceil(F.sum("docs") / F.lit(block_docs)), F.ceil(F.sum("size") / F.lit(block_shingles))).cast("int")
+    sized = own.groupBy("family", "c").agg(F.count("*").alias("docs"), F.sum("n").alias("size"))
+    sized = cut_lineage(sized.withColumn("many", F.greatest(F.ceil(F.col("docs") / F.lit(block_docs)), F.ceil(F.col("size") / F.lit(block_shingles))).cast("int")))
+    pool = sized.where("many = 1").groupBy("family").agg(fill.alias("pool"))
+    large = sized.where("many > 1").select("family", "c", "many").join(pool, "family", "left")
+    before = F.coalesce(F.sum("many").over(Window.partitionBy("family").orderBy("c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.coalesce("pool", F.lit(0))
+    large = large.select("family", "c", before.cast("int").alias("low"), "many")
+    total = pool.select("family", "pool").unionByName(sized.where("many > 1").groupBy("family").agg(F.sum("many").cast("int").alias("pool"))).groupBy("family").agg(F.sum("pool").cast("int").alias("total"))
+    placed = own.join(pool, "family", "left").join(total, "family").join(large, ["family", "c"], "left")
+    hashed = F.xxhash64("node")
+    block = F.when(F.col("low").isNull(), F.pmod(hashed, F.col("pool"))).otherwise(F.col("low") + F.pmod(hashed, F.col("many"))).cast("int")
+    return placed.withColumn("block", block).withColumn("high", F.col("low") + F.col("many")).drop("pool", "many")
+
+
+def _between(links: DataFrame, comp: DataFrame, shared: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, size: int, id_col: str, text_col: str, block_docs: int, block_shingles: int) -> DataFrame | None:
     """All links with those between components that meet in a band; None if no band has two components.
 
-    Documents that such bands connect are a family. A family is dealt into blocks of bounded size, each two of which meet in one task with their signatures
-    and full sets: a task looks at the pairs that share a band, are of different components and agree in enough coordinates, and gives back links alone.
-    So no pairs are shuffled, however many documents are nearly alike without being linked.
+    Documents that such bands connect are a family. A family is dealt into blocks of bounded size, each two of which meet in one task with their signatures: it
+    looks at the pairs that share a band, are of different components and agree in enough coordinates, and names their documents. Full sets are sent for these
+    alone, to the blocks where they were named, and a task gives back links. So no pairs are shuffled, however many documents are nearly alike without being linked.
     """
     marked = shared.join(comp, "node", "left").select("key", "node", "leader", F.coalesce("component", "node").alias("c"))
     mixed = marked.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("key")
     met = cut_lineage(marked.join(mixed, "key").select("node", "leader", "c").distinct())
     if met.isEmpty():
         return None
+    parts = shuffle_parts(docs.sparkSession)
     family = components(met.select(F.col("node").alias("a"), F.col("leader").alias("b"))).withColumnRenamed("component", "family")
     own = cut_lineage(met.select("node", "c").distinct().join(family, "node").join(nodes, "node"))
-    sizes = own.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / F.lit(BLOCK_DOCS)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks"))
-    sets = _sets(own.select("node", "digest"), docs, size, id_col, text_col)
-    full = own.join(sets, "node").join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "c", "n", "sign", "shingles")
-    schema = to_arrow_schema(fields(dealt, "node").add("b", dealt.schema["node"].dataType))
+    placed = cut_lineage(_blocks(own.select("node", "c", "family", "n", "sign", "digest"), block_docs, block_shingles))
+    others = F.filter(F.sequence(F.lit(0), F.col("total") - 1), lambda x: F.col("low").isNull() | (x < F.col("low")) | (x >= F.col("high")))
+    sent = placed.withColumn("other", F.explode(others)).select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "c", "n", "sign")
+    node = sent.schema["node"]
+    found_schema = T.StructType([sent.schema["family"], *(T.StructField(x, T.IntegerType()) for x in "ij"), node])
+    link_schema = to_arrow_schema(T.StructType([node, T.StructField("b", node.dataType)]))
+
+    def name(part: pa.Table) -> pa.Table:
+        at = np.zeros(part.num_rows, bool)
+        for x, y in _meetings(part, percent):
+            at[x] = True
+            at[y] = True
+        return part.filter(pa.array(at)).select(["family", "i", "j", "node"]).cast(to_arrow_schema(found_schema))
 
     def meet(part: pa.Table) -> pa.Table:
         found = _links_in(part, percent)
         ids = part.column("node").to_pylist()
-        return pa.table([pa.array([ids[x] for x, _ in found], schema.types[0]), pa.array([ids[y] for _, y in found], schema.types[1])], schema=schema)
-
-    kind = dealt.schema["node"].dataType.simpleString()
-    # By block pairs: the exchange by family alone, which the join above leaves, would also do for the groups.
-    dealt = dealt.repartition(shuffle_parts(docs.sparkSession), "family", "i", "j")
-    more = dealt.groupBy("family", "i", "j").applyInArrow(meet, f"node {kind}, b {kind}").select(F.col("node").alias("a"), "b")
+        return pa.table([pa.array([ids[x] for x, _ in found], link_schema.types[0]), pa.array([ids[y] for _, y in found], link_schema.types[1])], schema=link_schema)
+
+    # By block pairs: the exchange by family alone, which a join before leaves, would also do for the groups.
+    named = sent.repartition(parts, "family", "i", "j").groupBy("family", "i", "j").applyInArrow(name, found_schema)
+    named = cut_lineage(named)
+    sets = _sets(named.select("node").distinct().join(nodes.select("node", "digest"), "node"), docs, size, id_col, text_col)
+    dealt = named.join(placed.select("node", "block", "c", "n", "sign"), "node").join(sets, "node").repartition(parts, "family", "i", "j")
+    more = dealt.groupBy("family", "i", "j").applyInArrow(meet, T.StructType([node, T.StructField("b", node.dataType)])).select(F.col("node").alias("a"), "b")
     return cut_lineage(links.union(more))
 
 
-def _links_in(part: pa.Table, percent: int) -> list[tuple[int, int]]:
-    """Links between rows of two blocks (or of one, if the group is a block with itself) whose components no other link has joined yet."""
+def _meetings(part: pa.Table, percent: int):
+    """(x, ys): rows of two blocks (or of one that meets itself) of different components that share a band and agree in enough coordinates, each pair in its first band."""
     across = part.column("i")[0].as_py() != part.column("j")[0].as_py()
     block, n = part.column("block").to_numpy(), part.column("n").to_numpy()
     comp = pd.factorize(pd.Series(part.column("c").to_pylist()))[0]
     sign = np.frombuffer(b"".join(x.as_py() for x in part.column("sign")), np.uint8).reshape(len(n), -1)
     coords, keys = sign[:, : 2 * BANDS * ROWS].copy().view("<u2"), sign[:, 2 * BANDS * ROWS :].copy().view("<u8")
-    up = np.arange(comp.max() + 1)
-
-    def top(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    sets: dict[int, np.ndarray] = {}
-    shingles = part.column("shingles")
-
-    def own(x: int) -> np.ndarray:
-        if x not in sets:
-            sets[x] = np.frombuffer(shingles[x].as_py(), np.uint64)
-        return sets[x]
-
-    found = []
     for band in range(BANDS):
         order = np.argsort(keys[:, band], kind="stable")
         starts = np.flatnonzero(np.append(True, keys[order[1:], band] != keys[order[:-1], band]))
         for a, b in zip(starts, np.append(starts[1:], len(order)), strict=True):
             rows = order[a:b]
+            if len(rows) < 2 or (comp[rows] == comp[rows[0]]).all():
+                continue
             for at, x in enumerate(rows[:-1]):
                 y = rows[at + 1 :]
                 y = y[(comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
@@ -325,11 +338,33 @@ def _links_in(part: pa.Table, percent: int) -> list[tuple[int, int]]:
                     y = y[~(keys[y, :band] == keys[x, :band]).any(axis=1)]  # met in an earlier band
                 if len(y):
                     y = y[(coords[y] == coords[x]).sum(axis=1) >= AGREE]
-                for z in y:
-                    p, q = top(comp[x]), top(comp[z])
-                    if p != q and linked(own(x), own(z), percent):
-                        up[p] = q
-                        found.append((int(x), int(z)))
+                if len(y):
+                    yield x, y
+
+
+def _links_in(part: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Links among the meetings of two blocks, but those whose components another link has joined already."""
+    comp = pd.factorize(pd.Series(part.column("c").to_pylist()))[0]
+    shingles = part.column("shingles")
+    up, sets, found = list(range(int(comp.max()) + 1)), {}, []
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    def own(x: int) -> np.ndarray:
+        if x not in sets:
+            sets[x] = np.frombuffer(shingles[x].as_py(), np.uint64)
+        return sets[x]
+
+    for x, ys in _meetings(part, percent):
+        for z in ys:
+            p, q = top(comp[x]), top(comp[z])
+            if p != q and linked(own(x), own(z), percent):
+                up[p] = q
+                found.append((int(x), int(z)))
     return found
 
 

@@ -87,6 +87,37 @@ def test_links_between_documents_that_are_not_leaders(spark):
     assert got == plain_components(rows)[0]
 
 
+@pytest.mark.parametrize(("block_docs", "block_shingles"), [(7, 1_000_000), (1000, 900)])
+def test_links_across_blocks(spark, block_docs, block_shingles):
+    # One large component and many small ones that meet it and each other in bands; a few links are found between blocks alone.
+    rng = random.Random(21)
+    words = prose(rng, 110).split()
+    rows = []
+    for i in range(45):  # near copies, all linked
+        own = list(words)
+        own[rng.randrange(110)] = f"near{i}"
+        rows.append((500 + i, " ".join(own)))
+    for i in range(25):  # alike, but apart from the large group and mostly from each other
+        own = list(words)
+        for at in rng.sample(range(110), 5):
+            own[at] = f"far{i}x{at}"
+        rows += [(i, " ".join(own)), (100 + i, " ".join([*own, f"end{i}"]))]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, block_docs=block_docs, block_shingles=block_shingles).collect()}
+    want = plain_components(rows)[0]
+    assert got == want and 5 < len(set(want.values())) < 40
+
+
+def test_blocks_of_large_components_do_not_meet(spark):
+    rows = [(i, 0 if i < 30 else i, 0, 10) for i in range(60)] + [(100, 100, 100, 10), (101, 101, 100, 10)]
+    own = spark.createDataFrame(rows, "node long, c long, family long, n long")
+    got = minhash._blocks(own, 10, 10_000).collect()
+    assert all(r["total"] == (6 if r["family"] == 0 else 1) for r in got)
+    assert all((r["low"], r["high"]) == ((3, 6) if r["c"] == 0 else (None, None)) for r in got)
+    assert all(3 <= r["block"] < 6 if r["c"] == 0 else r["block"] < 3 for r in got)
+
+
 def test_signature_estimates_the_similarity():
     rng = np.random.default_rng(1)
     agree = []
