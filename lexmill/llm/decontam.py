@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.common import fields, map_rows
+from lexmill.llm.common import cut_lineage, fields, map_rows
 from lexmill.llm.winnowing import code_points, rolling_hashes
 
 Q = 10
@@ -60,11 +60,11 @@ def build_index(rows: list[tuple], q: int = Q, rate: float = RATE) -> Index:
     order = np.argsort(flat, kind="stable")
     seen = np.zeros(1 << _BITS, bool)
     seen[(flat & np.uint64((1 << _BITS) - 1)).astype(np.int64)] = True
-    item = np.repeat(np.arange(len(kept)), [len(h) for h in hashes] if kept else [])
-    place = np.concatenate([np.arange(len(h)) for h in hashes])
+    item = np.repeat(np.arange(len(kept)), [len(h) for h in hashes] if kept else []).astype(np.int32)
+    place = np.concatenate([np.arange(len(h), dtype=np.int32) for h in hashes])
     sizes = np.array([len(p) for _, p in kept], dtype=np.int64)
     limits = np.array([budget(m, q, rate) for m in sizes.tolist()], dtype=np.int64).reshape(-1, 2)
-    return Index([i for i, _ in kept], [p for _, p in kept], flat[order], item[order] if kept else item, place[order], seen, sizes, limits, q)
+    return Index([i for i, _ in kept], [p.astype(np.uint32) for _, p in kept], flat[order].astype(np.uint32), item[order] if kept else item, place[order], seen, sizes, limits, q)
 
 
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[int, int] | None:
@@ -99,15 +99,15 @@ def find(text: str, index: Index) -> list[tuple[int, int, int]]:
     points = code_points(normal(text))
     if len(points) < index.q:
         return []
-    hashes = rolling_hashes(points, index.q)
-    maybe = np.flatnonzero(index.seen[(hashes & np.uint64((1 << _BITS) - 1)).astype(np.int64)])
+    hashes = rolling_hashes(points, index.q).astype(np.uint32)
+    maybe = np.flatnonzero(index.seen[hashes & np.uint32((1 << _BITS) - 1)])
     left = np.searchsorted(index.hashes, hashes[maybe], side="left")
     count = np.searchsorted(index.hashes, hashes[maybe], side="right") - left
     total = int(count.sum())
     if not total:
         return []
     slot = np.repeat(left - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(total)
-    item = index.item[slot]
+    item = index.item[slot].astype(np.int64)
     diagonal = np.repeat(maybe, count) - index.place[slot]
     sizes, limits = index.sizes, index.limits
     # Bands of 2(k+1) diagonals that start every k+1: diagonals at most k apart share one.
@@ -135,7 +135,7 @@ def find(text: str, index: Index) -> list[tuple[int, int, int]]:
 
 
 def blocks(benchmark: DataFrame, most_chars: int, id_col: str = "item_id", text_col: str = "text"):
-    """The benchmark's rows in lists of at most ``most_chars`` characters (or one longer item), read one after another."""
+    """The benchmark's rows in lists of at most ``most_chars`` characters (or one longer item), read one after another; the driver holds one block at a time."""
     block, size = [], 0
     for r in benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("x")).where("x is not null").orderBy("i", "x").toLocalIterator():
         if block and size + len(r["x"]) > most_chars:
@@ -147,48 +147,69 @@ def blocks(benchmark: DataFrame, most_chars: int, id_col: str = "item_id", text_
         yield block
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, most_chars: int = 4_000_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+#: Characters of the benchmark that meet all documents at once. A task holds 12 bytes for each, and the 4 MB of marks.
+MOST_CHARS = 2_000_000
+
+
+def _block_leaks(rows: DataFrame, index: Index, schema: T.StructType, id_col: str, text_col: str) -> DataFrame:
+    def make():
+        def work(cols: dict[str, list]) -> dict:
+            out: dict[str, list] = {f.name: [] for f in schema}
+            for doc, text in zip(cols[id_col], cols[text_col], strict=True):
+                for i, edits, end in find(text or "", index):
+                    for n, v in zip(out, (doc, index.ids[i], edits, end), strict=True):
+                        out[n].append(v)
+            return out
+
+        return work
+
+    return map_rows(rows, schema, make)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, most_chars: int = MOST_CHARS, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(id, item_id, edits, end): each benchmark item that a row's text has within ``rate`` edits a character, with the fewest edits and where that ends in the normalised text.
 
     Texts and items are compared lower-cased and with runs of white space as one space. Documents are read whole. The benchmark is a set of queries: blocks of
-    at most ``most_chars`` characters of it go to all tasks, one after another, each against all documents. Null and empty texts and items under ``q``
+    at most ``most_chars`` characters of it go to all tasks, one after another, each against all documents. With more than one block each block's leaks are
+    written before the next block is read, so that neither the driver nor the plan grows with the benchmark. Null and empty texts and items under ``q``
     characters match nothing. Repeated rows and items give repeated results; a null id is kept.
     """
     schema = T.StructType([*fields(docs, id_col).fields, *fields(benchmark, item_col).fields, T.StructField("edits", T.IntegerType()), T.StructField("end", T.IntegerType())])
     rows = docs.select(id_col, text_col)
-    found = None
-    for block in blocks(benchmark, most_chars, item_col, item_text_col):
-        index = build_index(block, q, rate)
-
-        def make(index=index):
-            def work(cols: dict[str, list]) -> dict:
-                out: dict[str, list] = {f.name: [] for f in schema}
-                for doc, text in zip(cols[id_col], cols[text_col], strict=True):
-                    for i, edits, end in find(text or "", index):
-                        for n, v in zip(out, (doc, index.ids[i], edits, end), strict=True):
-                            out[n].append(v)
-                return out
-
-            return work
-
-        part = map_rows(rows, schema, make)
+    found, queue = None, blocks(benchmark, most_chars, item_col, item_text_col)
+    block = next(queue, None)
+    while block is not None:
+        part = _block_leaks(rows, build_index(block, q, rate), schema, id_col, text_col)
+        block = next(queue, None)
+        if block is not None or found is not None:
+            part = cut_lineage(part)
         found = part if found is None else found.unionByName(part)
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, most_chars: int = 4_000_000, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all columns, whose text has no item of the benchmark. One pass for each block, without a shuffle; null texts stay."""
-    kept = docs
-    for block in blocks(benchmark, most_chars):
-        index = build_index(block, q, rate)
-        names = docs.columns
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, most_chars: int = MOST_CHARS, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, whose text has no item of the benchmark; null texts stay.
 
-        def make(index=index):
+    A benchmark of one block filters the rows in one pass. With more, leaking texts are found block by block, named by 128 bits of hashes, and left out by one join.
+    """
+    queue = blocks(benchmark, most_chars)
+    block, after = next(queue, None), next(queue, None)
+    if block is None:
+        return docs
+    if after is None:
+        index, names = build_index(block, q, rate), docs.columns
+
+        def make():
             def work(cols: dict[str, list]) -> dict:
                 clean = [i for i, text in enumerate(cols[text_col]) if not find(text or "", index)]
                 return {n: [cols[n][i] for i in clean] for n in names}
 
             return work
 
-        kept = map_rows(kept, kept.schema, make)
-    return kept
+        return map_rows(docs, docs.schema, make)
+    mark = [F.xxhash64(F.col(text_col)), F.xxhash64(F.lit(2), F.col(text_col))]
+    own = {f"_mark{i}": c for i, c in enumerate(mark)}
+    texts = docs.select(text_col).withColumns(own).select(F.struct(*own).alias("_marks"), text_col)
+    items = benchmark.select("item_id", F.col("text").alias("text"))
+    gone = leaks(texts, items, q, rate, most_chars, "_marks", text_col).select("_marks.*").distinct()
+    return docs.withColumns(own).join(gone, list(own), "left_anti").select(*docs.columns)
