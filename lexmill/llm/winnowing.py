@@ -7,14 +7,15 @@ Two texts that share a run of ``window + k - 1`` code points share a kept hash,
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.common import fields, map_rows, shuffle_parts
+from lexmill.llm.common import bound_batches, cut_lineage, fields, map_rows, shuffle_parts
 
 _BASE = 0x9E3779B97F4A7C15
 _WORD = (1 << 64) - 1
@@ -98,48 +99,65 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
+def _place(known, doc, mark) -> tuple:
+    """What rows are ordered by: null ids first, then the id (a NaN after all numbers), then a digest of the text."""
+    if not known:
+        return (False, False, b"", mark)
+    return (True, doc != doc, "" if doc != doc else doc, mark)
+
+
 def fingerprint_changes(docs: DataFrame, k: int = 16, window: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of each document and of its edited text, with their likeness to one another and to the next document's.
 
-    The next document is the one with the next id in ascending order, the first one after the last. Rows of one id are ordered by text; null ids come
-    first. Null texts are empty. Documents are dealt by ranges of the id with the text shuffled once; the row after the last of a range is sent to that range as well.
+    The next document is the one with the next id in ascending order, the first one after the last. Rows of one id are ordered by a digest of the text; null ids
+    come first. Null texts are empty. Ids of any type that can be ordered are dealt by ranges of id and digest, found on a table of these alone, and texts are
+    shuffled once; the row after the last of a range is sent to that range as well. Rows that are equal in id and text and more than a range should hold travel once
+    for each task that has them, with their number.
     """
     spark = docs.sparkSession
     parts = shuffle_parts(spark)
     kind = docs.schema[id_col].dataType
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    if isinstance(kind, T.NumericType):
-        key = F.col("_id").cast("double")
-    else:  # the first six bytes, in the order of the text
-        key = F.conv(F.rpad(F.substring(F.hex(F.encode(F.col("_id").cast("string"), "UTF-8")), 1, 12), 12, "0"), 16, 10).cast("double")
-    points = np.array(sorted(set(rows.select(key.alias("_x")).where("_x is not null").approxQuantile("_x", [i / parts for i in range(1, parts)], 0.1 / parts))) if parts > 1 else [])
-
-    @F.pandas_udf(T.IntegerType())
-    def part_of(x: pd.Series) -> pd.Series:
-        return pd.Series(np.where(x.isna(), 0, np.searchsorted(points, x.fillna(0).to_numpy(), side="left")).astype("int32"))
-
-    part = part_of(key) if len(points) else F.lit(0)
-    cut = rows.withColumn("_part", part.cast("int"))
-    # One row for each part: its first document by (id, text); the hash stands for the text where an id repeats.
-    least = cut.groupBy("_part").agg(F.min(F.struct(F.col("_id").isNotNull().alias("known"), F.col("_id").alias("id"), F.md5(F.col("_text")).alias("hash"))).alias("least")).collect()
-    least = sorted((r["_part"], r["least"]) for r in least)
+    mark = F.md5(F.col("_text"))
+    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).withColumn("_mark", mark)
     schema = fields(docs, id_col, n_chars=T.LongType(), edited_sha256=T.StringType(), fingerprint=T.StringType(), edited_fingerprint=T.StringType(), near_edited=T.DoubleType(), near_next=T.DoubleType())
-    if not least:
+
+    counted = rows.groupBy("_id", "_mark").agg(F.count("*").alias("_n"))
+    ranged = cut_lineage(counted.repartitionByRange(parts, F.col("_id").asc_nulls_first(), "_mark").withColumn("_part", F.spark_partition_id()))
+    total = ranged.agg(F.sum("_n")).first()[0]
+    if not total:
         return spark.createDataFrame([], schema)
-    # The first row of each part follows the last row of the part before it; of the first part, that of the last.
-    before = [(p, f["known"], f["id"], f["hash"], least[i - 1][0]) for i, (p, f) in enumerate(least)]
-    heads = spark.createDataFrame(before, T.StructType([T.StructField("_part", T.IntegerType()), T.StructField("_known", T.BooleanType()), T.StructField("_first", kind), T.StructField("_hash", T.StringType()), T.StructField("_to", T.IntegerType())]))
-    tails = (
-        cut.join(F.broadcast(heads), "_part")
-        .where(F.col("_id").eqNullSafe(F.col("_first")))
-        .where(F.md5(F.col("_text")) == F.col("_hash"))
-        .select("_id", "_text", F.col("_to").alias("_part"))
-    )
-    marked = cut.select("_part", F.lit(False).alias("_tail"), "_id", "_text").unionByName(tails.select("_part", F.lit(True).alias("_tail"), "_id", "_text"))
-    dealt = marked.repartitionById(parts, "_part").sortWithinPartitions("_part", "_tail", F.col("_id").asc_nulls_first(), F.md5(F.col("_text")))
+    least = ranged.groupBy("_part").agg(F.min(F.struct(F.col("_id").isNotNull().alias("known"), F.col("_id").alias("id"), F.col("_mark").alias("mark"))).alias("f")).collect()
+    heads = sorted((r["f"] for r in least), key=lambda f: _place(*f))  # one a range
+    bounds = [_place(*f) for f in heads]
+    # A row that is there this often is sent once by each task: there are at most 4 * parts of these, which are broadcast.
+    often = ranged.where(F.col("_n") > max(8, total // (4 * parts))).select("_id", "_mark", "_n")
+    crowd = [(r["_id"], r["_mark"], r["_n"]) for r in often.collect()]
+
+    @F.arrow_udf(T.IntegerType())
+    def part_of(ids: pa.Array, marks: pa.Array) -> pa.Array:
+        found = (bisect_right(bounds, _place(i is not None, i, m)) - 1 for i, m in zip(ids.to_pylist(), marks.to_pylist(), strict=True))
+        return pa.array([max(0, x) for x in found], pa.int32())
+
+    bound_batches(spark)
+    if crowd:
+        crowd_schema = T.StructType([T.StructField("_id", kind), T.StructField("_mark", T.StringType()), T.StructField("_n", T.LongType())])
+        known = F.broadcast(spark.createDataFrame(crowd, crowd_schema).withColumnsRenamed({"_id": "_i", "_mark": "_m"}))
+        joined = rows.join(known, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m")), "left")
+        once = joined.where("_n is not null").groupBy("_id", "_mark").agg(F.first("_text").alias("_text"), F.first("_n").alias("_n"))
+        rows = joined.where("_n is null").select("_id", "_text", "_mark", F.lit(1).cast("long").alias("_n")).unionByName(once)
+    else:
+        rows = rows.withColumn("_n", F.lit(1).cast("long"))
+    cut = rows.withColumn("_part", part_of("_id", "_mark"))
+    # The first row of each range follows the last row of the range before it; that of the first range, the last of all.
+    before = [(f["id"], f["mark"], (i or len(heads)) - 1) for i, f in enumerate(heads)]
+    to = F.broadcast(spark.createDataFrame(before, T.StructType([T.StructField("_i", kind), T.StructField("_m", T.StringType()), T.StructField("_to", T.IntegerType())])))
+    tails = cut.join(to, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m"))).select(F.col("_to").alias("_part"), F.lit(True).alias("_tail"), "_id", "_text", "_mark", "_n")
+    marked = cut.select("_part", F.lit(False).alias("_tail"), "_id", "_text", "_mark", "_n").unionByName(tails)
+    dealt = marked.repartitionById(parts, "_part").sortWithinPartitions("_part", "_tail", F.col("_id").asc_nulls_first(), "_mark")
+    out_schema = T.StructType([*schema.fields, T.StructField("_times", T.LongType())])
 
     def make():
-        held: list = []  # the document whose next one is not yet known: part, id, text, fingerprint
+        held: list = []  # the document whose next one is not yet known: part, id, text, fingerprint, how often it is there
         tail_of: list = []
 
         def one(text: str):
@@ -147,24 +165,34 @@ def fingerprint_changes(docs: DataFrame, k: int = 16, window: int = 32, id_col:
             return text, digest(h, p), np.unique(h)
 
         def work(cols: dict[str, list]) -> dict:
-            out: dict[str, list] = {f.name: [] for f in schema}
-            for p, tail, doc, text in zip(cols["_part"], cols["_tail"], cols["_id"], cols["_text"], strict=True):
+            out: dict[str, list] = {f.name: [] for f in out_schema}
+
+            def put(doc, own: tuple, following: tuple, times: int) -> None:
+                text, name, marks = own
+                changed = edited_text(text, following[0])
+                _, other, others = one(changed)
+                values = (doc, len(text), hashlib.sha256(changed.encode()).hexdigest(), name, other, 1.0 if name == other else likeness(marks, others), 1.0 if name == following[1] else likeness(marks, following[2]), times)
+                for n, v in zip(out, values, strict=True):
+                    out[n].append(v)
+
+            for p, tail, doc, text, many in zip(cols["_part"], cols["_tail"], cols["_id"], cols["_text"], cols["_n"], strict=True):
                 if tail and tail_of == [p]:
                     continue  # a repeated first row was sent more than once
                 new = one(text)
                 if held and held[0] == p:
-                    _, was, (own, mark, marks) = held
-                    changed = edited_text(own, text)
-                    _, other, others = one(changed)
-                    for n, v in zip(out, (was, len(own), hashlib.sha256(changed.encode()).hexdigest(), mark, other, 1.0 if mark == other else likeness(marks, others), 1.0 if mark == new[1] else likeness(marks, new[2])), strict=True):
-                        out[n].append(v)
+                    put(held[1], held[2], new, 1)
                 if tail:
                     tail_of[:] = [p]
                     held.clear()
                 else:
+                    if many > 1:  # all but the last of them are followed by their like
+                        put(doc, new, new, many - 1)
                     held[:] = [p, doc, new]
             return out
 
         return work
 
-    return map_rows(dealt, schema, make)
+    made = map_rows(dealt.select("_part", "_tail", "_id", "_text", "_n"), out_schema, make)
+    if crowd:
+        made = made.withColumn("_times", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
+    return made.drop("_times")

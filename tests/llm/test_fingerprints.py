@@ -1,10 +1,11 @@
 import hashlib
+import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lexmill.llm import winnowing
-from tests.llm.helpers import SCHEMA, odd_rows
+from tests.llm.helpers import SCHEMA, odd_rows, prose
 
 
 def plain_winnow(text, k, window):
@@ -50,6 +51,31 @@ def test_changes_against_plain_order(spark):
         assert (g["near_next"] == 1) == (own == after)
 
 
+def plain_changes(rows):
+    """(id, n_chars, edited digest, fingerprint, whether the next text is the same) of rows in order of id, nulls first, and digest of the text."""
+    rows = sorted(((i, x or "") for i, x in rows), key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0, hashlib.md5(r[1].encode()).hexdigest()))
+    out = []
+    for (i, own), (_, after) in zip(rows, [*rows[1:], rows[0]], strict=True):
+        n = len(own) // 4
+        edited = own[: len(own) - n] + after[:n]
+        out.append((i, len(own), hashlib.sha256(edited.encode()).hexdigest(), winnowing.digest(*winnowing.winnow(own)), own == after))
+    return sorted(out, key=str)
+
+
+def test_ids_of_any_kind_against_plain_order(spark):
+    rng = random.Random(9)
+    texts = [prose(rng, rng.randint(1, 30)) for _ in range(60)]
+    named = [(f"document-{i:06d}", x) for i, x in enumerate(texts)]
+    numbered = [((-1) ** i * (1 << 60) + i, x) for i, x in enumerate(texts)]
+    crowded = [*((i, x) for i, x in enumerate(texts)), *[(30, texts[30])] * 90, *[(0, texts[0])] * 40, *[(None, "n")] * 3, *[(7, f"another {i}") for i in range(50)]]
+    for rows, kind in ((named, "string"), (numbered, "long"), (crowded, "long"), ([(1, "same text")] * 200, "int")):
+        rng.shuffle(rows)
+        got = winnowing.fingerprint_changes(spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(3)).collect()
+        assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"], r["fingerprint"], r["near_next"] == 1) for r in got), key=str) == plain_changes(rows)
+    odd = spark.createDataFrame([(float("nan"), "a"), (1.5, "b"), (-2.0, "c")], "doc_id double, text string")
+    assert winnowing.fingerprint_changes(odd).count() == 3
+
+
 def test_odd_rows_and_empty_table(spark):
     rows = odd_rows()
     docs = spark.createDataFrame(rows, SCHEMA)
