@@ -1,6 +1,6 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two models, of toxic and of ordinary documents, predict each byte of a lower-cased word from up to four bytes before it. Each order backs off to the
+Two models, of toxic and of ordinary documents, predict each byte of a lower-cased word from a few bytes before it; folds of the training rows choose how many. Each order backs off to the
 continuation counts of the order below in its own class, and the lowest one to counts that both classes share: of byte pairs in the distinct words of all
 documents. A rare expression therefore gets its probability from the pieces that it has in common with others. The score compares the two
 log-likelihoods, normalised by the number of words.
@@ -23,10 +23,10 @@ from lexmill.llm.common import crc_mod, fields, map_rows
 from lexmill.llm.quality import training_rows
 
 _WORD = re.compile(r"[^\W_]+")
-ORDER = 5
+#: Orders and weights of the labels' odds that folds of the training rows choose from, the first of equally good ones. A weight of 1 makes a score the probability
+#: among all documents, 0 that among as many toxic ones as others.
+ORDERS, ODDS_WEIGHTS, FOLDS = (5, 4, 6), (0.5, 0.25, 0.75, 0.0, 1.0), 3
 DISCOUNT = 0.75
-#: How much of the log-odds of toxic documents among all counts: 1 gives the fewest errors, 0 weighs both labels alike. Half, as a miss is worse than a false alarm.
-PRIOR_WEIGHT = 0.5
 _EIGHT = np.uint64(8)
 
 
@@ -67,7 +67,7 @@ def _level(keys: np.ndarray, counts: np.ndarray) -> Level:
     return Level(keys, (counts - taken) / total[at], contexts, np.bincount(at, weights=taken) / total)
 
 
-def levels(words: list[bytes], weights: np.ndarray, order: int = ORDER) -> list[Level]:
+def levels(words: list[bytes], weights: np.ndarray, order: int) -> list[Level]:
     """Levels from order 2 up. The highest one counts; each below counts the distinct bytes before its keys."""
     keys, owner = grams(words, order)
     unique, at = np.unique(keys, return_inverse=True)
@@ -93,6 +93,7 @@ class Model:
 
     classes: tuple[list[Level], list[Level]]
     shared: np.ndarray
+    order: int = ORDERS[0]
     slope: float = 1.0
     shift: float = 0.0
     cache: dict[str, float] = field(default_factory=dict)
@@ -128,7 +129,7 @@ class Model:
         new = list({w for words in split for w in words} - self.cache.keys())
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
-            keys, owner = grams([w.encode() for w in part], ORDER)
+            keys, owner = grams([w.encode() for w in part], self.order)
             self.cache.update(zip(part, np.bincount(owner, weights=self.ratios(keys), minlength=len(part)).tolist(), strict=True))
         get = self.cache.__getitem__
         return np.array([math.fsum(map(get, words)) / len(words) if words else 0.0 for words in split])
@@ -189,28 +190,54 @@ def calibrate(mean: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float,
     return float(max(w[0], 0.0) / scale), float(w[1])
 
 
-def _class_levels(words: list[list[str]]) -> list[Level]:
+def _class_levels(words: list[list[str]], order: int) -> list[Level]:
     """Levels of one class; a word counts once for each document that has it."""
     counts: Counter = Counter()
     for own in words:
         counts.update(set(own))
     known = sorted(counts)
-    return levels([w.encode() for w in known], np.array([counts[w] for w in known], dtype=float))
+    return levels([w.encode() for w in known], np.array([counts[w] for w in known], dtype=float), order)
+
+
+def _model(words: list[list[str]], y: np.ndarray, used: np.ndarray, shared: np.ndarray, order: int) -> Model:
+    of = lambda side: _class_levels([w for w, label, u in zip(words, y, used, strict=True) if label == side and u], order)
+    return Model((of(1), of(0)), shared, order)
+
+
+def _loss(z: np.ndarray, y: np.ndarray) -> float:
+    return float(np.mean(np.logaddexp(0, np.where(y == 1, -z, z))))
 
 
 def fit_sample(rows: list[tuple[int, int, str]], shared: np.ndarray, odds: float = 1.0) -> Model:
-    """A model from (hash, label, text); ``odds``: how many times rarer toxic documents are than in these rows, against ordinary ones."""
+    """A model from (hash, label, text); ``odds``: how many times rarer toxic documents are than in these rows, against ordinary ones.
+
+    Each fold's rows are scored by models of the other folds. From these scores the order with the least logistic loss is chosen, the curve is fitted, and the weight
+    of the odds with the best mean of the shares of toxic and of ordinary rows that are right. The model itself is then fitted on all rows.
+    """
     rows = sorted(rows)
-    words = [words_of(x) for _, _, x in rows]
+    words, texts = [words_of(x) for _, _, x in rows], [x for _, _, x in rows]
     y = np.array([label for _, label, _ in rows])
     if len(set(y.tolist())) < 2:
-        return Model(([], []), np.full((256, 256), 1 / 256), 0.0, -4.0)
-    held = np.arange(len(rows)) % 3 == 0
-    make = lambda skip: Model(tuple(_class_levels([w for w, label, s in zip(words, y, skip, strict=True) if label == side and not s]) for side in (1, 0)), shared)
-    trial, model = make(held), make(np.zeros(len(rows), bool))
-    if len(set(y[held].tolist())) == 2:
-        model.slope, model.shift = calibrate(trial.means([rows[i][2] for i in np.flatnonzero(held)]), y[held].astype(float))
-        model.shift -= PRIOR_WEIGHT * math.log(odds)
+        return Model(([], []), np.full((256, 256), 1 / 256), ORDERS[0], 0.0, -4.0)
+    fold = np.empty(len(rows), np.int64)
+    for label in (0, 1):  # by label, so that each fold has its share of both
+        fold[y == label] = np.arange((y == label).sum()) % FOLDS
+    best = None
+    if min((y == 0).sum(), (y == 1).sum()) >= FOLDS:
+        for order in ORDERS:
+            means = np.empty(len(rows))
+            for f in range(FOLDS):
+                own = np.flatnonzero(fold == f)
+                means[own] = _model(words, y, fold != f, shared, order).means([texts[i] for i in own])
+            slope, shift = calibrate(means, y.astype(float))
+            loss = _loss(slope * means + shift, y)
+            if best is None or loss < best[0]:
+                best = loss, order, slope, shift, slope * means + shift
+    model = _model(words, y, np.ones(len(rows), bool), shared, best[1] if best else ORDERS[0])
+    if best:
+        _, _, model.slope, shift, z = best
+        right = lambda w: ((z[y == 1] >= w * math.log(odds)).mean() + (z[y == 0] < w * math.log(odds)).mean()) / 2
+        model.shift = shift - max(ODDS_WEIGHTS, key=right) * math.log(odds)
     return model
 
 

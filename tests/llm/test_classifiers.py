@@ -123,14 +123,57 @@ def test_quality_on_held_out_rows(spark):
 
 
 def test_probabilities_of_a_context_sum_to_one():
-    made = toxicity.levels([b"abc", b"abd", b"xyz"], np.array([3.0, 1.0, 2.0]))
-    model = toxicity.Model((made, made), np.full((256, 256), 1 / 256))
+    made = toxicity.levels([b"abc", b"abd", b"xyz"], np.array([3.0, 1.0, 2.0]), 5)
+    model = toxicity.Model((made, made), np.full((256, 256), 1 / 256), 5)
     for context in (b"  ab", b"    ", b"  zz"):
         base = int.from_bytes(context, "big") << 8
         keys = np.array([base + b for b in range(256)], dtype=np.uint64)
         assert np.exp(model.log_likelihood(0, keys)).sum() == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("order", [3, 5])
+def test_likelihoods_against_plain_kneser_ney(order):
+    """Interpolated Kneser-Ney by its definition: counts at the highest order, numbers of distinct bytes before below it, a table of pairs at the bottom."""
+    rng = random.Random(order)
+    words = {prose(rng, 1).encode(): float(rng.randint(1, 9)) for _ in range(60)}
+    shared = np.full((256, 256), 1 / 256)
+    model = toxicity.Model((toxicity.levels(list(words), np.array(list(words.values())), order), []), shared, order)
+    count = [{} for _ in range(order + 1)]
+    for w, n in words.items():
+        padded = b" " * (order - 1) + w + b" "
+        for i in range(len(padded) - order + 1):
+            g = padded[i : i + order]
+            count[order][g] = count[order].get(g, 0.0) + n
+    for k in range(order - 1, 1, -1):
+        for g in {x[1:] for x in count[k + 1]}:
+            count[k][g] = float(len({x[0] for x in count[k + 1] if x[1:] == g}))
+
+    def plain(gram, k):
+        if k == 1:
+            return 1 / 256
+        follows = {g[-1]: c for g, c in count[k].items() if g[:-1] == gram[-k:-1]}
+        below = plain(gram, k - 1)
+        if not follows:
+            return below
+        total = sum(follows.values())
+        c = follows.get(gram[-1], 0.0)
+        return max(c - toxicity.DISCOUNT, 0) / total + sum(min(x, toxicity.DISCOUNT) for x in follows.values()) / total * below
+
+    tried = [b" " * (order - 1) + w for w in (*list(words)[:20], b"zzz", b"abq")]
+    grams = [p[i : i + order] for p in tried for i in range(len(p) - order + 1)]
+    got = model.log_likelihood(0, np.array([int.from_bytes(g, "big") for g in grams], np.uint64))
+    assert got == pytest.approx([float(np.log(plain(g, order))) for g in grams])
+
+
+def test_toxicity_of_an_empty_table(spark):
+    docs, known = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, known)
+    assert toxicity.score_toxicity(docs, model).collect() == []
+    one = toxicity.score_toxicity(spark.createDataFrame([(1, None), (2, ""), (3, "words")], "doc_id long, text string"), model).collect()
+    assert [r["predicted"] for r in one] == [0, 0, 0]
+    assert quality.score_quality(docs, quality.fit(docs, known)).collect() == []
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = random.Random(8)
     rows, labels = [], []
