@@ -237,6 +237,26 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = WORDS, id_co
     return own.select(id_col, "n_shingles", component.alias("component_id"), F.coalesce(F.col(id_col) == component, F.lit(True)).alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, percent: int = 75, size: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, of which one document of each component stays, the one with the least id.
+
+    Of rows that share an id the one with the least JSON text of its columns stays, so that a task that runs again keeps the same; rows with a null id all do. While
+    a filter of the ids that lose a row is small enough to be sent, texts of other documents are not moved.
+    """
+    found = cut_lineage(near_duplicates(docs.select(id_col, text_col), percent, size, id_col, text_col).where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.bool_and("kept").alias("kept"), F.count("*").alias("n")))
+    touched = found.where("not kept or n > 1")
+    maybe = key_filter(touched.select(F.xxhash64(id_col).alias("h")))
+    marked = docs.withColumn("_h", F.xxhash64(id_col))
+    held = F.col(id_col).isNotNull()
+    if maybe:
+        marked = marked.withColumn("_maybe", maybe.test("_h"))
+        held = held & F.col("_maybe")
+    rest = marked.where(held).select(*docs.columns).join(touched.where("not kept").select(id_col), id_col, "left_anti").select(*docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = rest.groupBy(F.col(id_col).alias("_id")).agg(F.min_by(whole, F.to_json(whole)).alias("_row")).select("_row.*")
+    return marked.where(~held).select(*docs.columns).unionByName(first)
+
+
 def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     """Pairs whose ends are not of one component yet."""
     side = lambda x: comp.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))

@@ -82,6 +82,58 @@ def test_segments_of_long_texts_are_all_read(speech):
     assert p[net.labels.index("xx")] > 0.3 and p[net.labels.index("yy")] > 0.3 and p.sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_pooled_probabilities_against_a_plain_pass(speech):
+    """One byte at a time, with the gates written out."""
+    net = langid.train([x for _, x, _ in speech], [y for _, _, y in speech], steps=15)
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    size = net.inner[0].shape[0]
+
+    def states(way, data):
+        h, out = np.zeros(size), []
+        for c in data if way == 0 else data[::-1]:
+            x, w = net.tables[way][c].astype(float), net.inner[way].astype(float)
+            z = sigmoid(x[:size] + h @ w[:, :size])
+            r = sigmoid(x[size : 2 * size] + h @ w[:, size : 2 * size])
+            n = np.tanh(x[2 * size :] + r * (h @ w[:, 2 * size :]))
+            h = z * h + (1 - z) * n
+            out.append(h)
+        return out if way == 0 else out[::-1]
+
+    for text in ("a", "aeiou kptsz é", "lmnr aeiou " * 30, "x" * langid.SEGMENT):
+        data, total = text.encode(), np.zeros(len(net.labels))
+        for at in range(0, len(data), langid.SEGMENT):
+            part = [*data[at : at + langid.SEGMENT]]
+            padded = part + [langid.PAD] * (langid.SEGMENT - len(part))
+            ahead, back = states(0, padded), states(1, padded)
+            for t in range(len(part)):
+                logits = ahead[t] @ net.outer[0] + back[t] @ net.outer[1] + net.bias
+                e = np.exp(logits - logits.max())
+                total += e / e.sum()
+        assert langid.pooled(net, [data])[0] == pytest.approx(total / len(data), abs=1e-4)
+
+
+def test_first_split_against_all_splits():
+    rng = np.random.default_rng(4)
+    for _ in range(5):
+        x = rng.integers(0, 12, (80, 4)).astype(float)
+        y = (x[:, 1] + rng.integers(0, 6, 80) > 9).astype(float)
+        trees = quality.boost(x, y, trees=1, depth=1, bins=64, least=5)
+        p = 1 / (1 + np.exp(-trees.base))
+        best = (1e-6, None, None)
+        for f in range(4):
+            for c in np.unique(np.quantile(x[:, f], np.linspace(0, 1, 65)[1:-1])):
+                left = x[:, f] <= c
+                if 5 <= left.sum() <= 75:
+                    part = lambda m: (p - y[m]).sum() ** 2 / (p * (1 - p) * m.sum() + 1.0)
+                    gain = part(left) + part(~left) - part(left | ~left)
+                    if gain > best[0] + 1e-9:
+                        best = (gain, f, c)
+        assert (trees.feature[0, 0], trees.cut[0, 0]) == best[1:]
+        left = x[:, best[1]] <= best[2]
+        want = [-0.15 * (p - y[m]).sum() / (p * (1 - p) * m.sum() + 1.0) for m in (left, ~left)]
+        assert trees.value[0] == pytest.approx(want)
+
+
 def test_trees_learn_and_are_flat():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((600, 5))

@@ -55,6 +55,39 @@ def test_plan_packs_every_piece_once(sizes):
     assert sum(t for _, t in plan) <= 1.25 * -(-sum(sizes) // 64) + 1 or max(sizes) > 21
 
 
+def plain_two_fit(sizes, most):
+    """Best-two-fit one bin at a time, on a list: its bins as sorted tuples."""
+    left, bins = sorted(sizes, reverse=True), []
+    while left:
+        own, gap, rest = [], most, list(left)
+        for x in left:
+            if x <= gap:
+                own.append(x)
+                rest.remove(x)
+                gap -= x
+        if gap and len(own) > 1:
+            small, best = min(own), None
+            for i, a in enumerate(rest):
+                for b in rest[i + 1 :]:
+                    if small < a + b <= gap + small and (best is None or (a + b, a) > (sum(best), best[0])):
+                        best = (a, b)
+            if best:
+                own.remove(small)
+                own += best
+        for x in own:
+            left.remove(x)
+        bins.append(tuple(sorted(own)))
+    return sorted(bins)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 40), max_size=40))
+def test_plan_against_one_bin_at_a_time(sizes):
+    plan = packing.best_two_fit({x: sizes.count(x) for x in set(sizes)}, 40)
+    got = sorted(tuple(sorted(x for x, n in used.items() for _ in range(n))) for used, times in plan for _ in range(times))
+    assert got == plain_two_fit(sizes, 40)
+
+
 def test_smallest_piece_gives_way_to_two_that_fit_more_tightly():
     # 60 + 30 leaves 10; without 30 the gap of 40 takes 25 + 14, which leaves 1.
     plan = packing.best_two_fit({60: 1, 30: 1, 25: 1, 14: 1}, 100)

@@ -1,9 +1,12 @@
 import random
 
+from tokenizers import Tokenizer
+
 import corpus_pipeline
 from lexmill.llm import queries
 from tests.llm.helpers import prose
 from tests.llm.test_dedup import plain_components
+from tests.llm.test_packing import plain_two_fit
 
 
 def write(spark, folder, rows, items):
@@ -36,7 +39,33 @@ def test_stages_take_effect(spark, tmp_path):
     assert set(counts[2]) == {i for i, c in want.items() if i == c}
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in packed} == set(counts[3])
-    assert len({r["sequence_id"] for r in packed}) <= sum(r["length"] for r in packed) // 2048 + 2
+    bins = {}
+    for r in packed:
+        bins.setdefault(r["sequence_id"], []).append(r["length"])
+    theirs = Tokenizer.from_file(queries.tokenizer_path())
+    sizes = [len(theirs.encode(x, add_special_tokens=False).ids) + 1 for x in counts[3].values()]
+    assert max(sizes) <= 2048 and sorted(tuple(sorted(b)) for b in bins.values()) == plain_two_fit(sizes, 2048)
+
+
+def test_texts_half_in_each_language_are_rejected(spark):
+    rng = random.Random(3)
+    speak = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(n))
+    rows = [(i, speak("aeiou", 40) if i % 2 else speak("kptsz", 40), "xx" if i % 2 else "yy", "s", 1) for i in range(200)]
+    rows += [(1000, speak("aeiou", 300) + speak("kptsz", 305), None, "s", 1), (1001, speak("aeiou", 9), None, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()}
+    assert {r[0] for r in rows} - kept == {1000}
+
+
+def test_one_row_of_each_id_and_group(spark):
+    rng = random.Random(2)
+    text = prose(rng, 60)
+    rows = [(1, text, "b"), (1, text, "a"), (2, text, "c"), (3, prose(rng, 30), "d"), (None, text, "e"), (None, text, "e"), (4, None, "f"), (5, "", "g"), (6, "z", None), (6, "y", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    for _ in range(2):
+        got = sorted(((r["doc_id"], r["_row"]) for r in corpus_pipeline.near_dedup(spark, docs.repartition(3), "").collect()), key=str)
+        assert got == sorted([(1, "a"), (3, "d"), (None, "e"), (None, "e"), (4, "f"), (5, "g"), (6, "h")], key=str)
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").collect() == []
 
 
 def test_empty_tables_and_odd_columns(spark, tmp_path):
