@@ -1,27 +1,27 @@
 """A cleaning pipeline over ``documents``: language ID, line dedup, MinHash near-dedup, benchmark decontamination and packing.
 
 Each stage is a function of (spark, docs, sf_dir) that works on all rows its predecessor kept. All but the last return the columns of ``docs``, whatever
-these are. ``run`` applies them in turn, each stage's result written as Parquet in the cluster's shared folder and read again.
+these are. ``run`` applies them in turn, each stage's result written as Parquet in the cluster's shared folder, read again, and deleted once the next one has it.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm import decontam, langid, lines, minhash, packing
+from lexmill.llm.common import Written
 from lexmill.llm.queries import table, tokenizer_path
 
-#: Documents whose likeliest language has less than this are rejected, as are those without a letter.
-LEAST_LANGUAGE_SCORE = 0.3
+#: Documents whose likeliest language is hardly over what it would be if all were as likely are rejected, as are those without a letter. The probabilities are of the
+#: learned languages alone, so that a text in another language passes if it looks like one of these.
+LEAST_OVER_EVEN = 0.05
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents in no learned language: null texts, texts without a letter and those that no language has LEAST_LANGUAGE_SCORE of.
+    """Rejects documents in no learned language: null texts, texts without a letter and those whose likeliest language has less than LEAST_OVER_EVEN over 1 / languages.
 
     The network is fitted on a bounded sample of the rows that have a language; ``lang`` is no input of a decision and stays as it is. Repeated rows have the same fate.
     Without a labelled row there is no network, and nothing is rejected but texts without a letter.
@@ -40,7 +40,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def _speakable(found: DataFrame, net: langid.Network | None) -> DataFrame:
     if net is None:
         return found.where(F.col("text").rlike(r"\p{L}"))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= min(1.0, 1 / len(net.labels) + LEAST_OVER_EVEN) - 1e-6))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +53,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the least id. Of rows that share an id one stays; rows with a null id all do."""
-    gone = minhash.near_duplicates(docs.select("doc_id", "text")).where(~F.col("kept")).select("doc_id").distinct()
-    known = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return known.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    return minhash.drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,9 +79,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='lexmill-pipeline-')}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    tables = Written(spark, "pipeline")
+    try:
+        docs, before = table(spark, sf_dir, "documents"), None
+        for name, stage in STAGES[:-1]:
+            docs = tables.write(name, stage(spark, docs, sf_dir))
+            if before:
+                tables.drop(before)
+            before = name
+        return STAGES[-1][1](spark, docs, sf_dir)  # packing has read its input when it returns
+    finally:
+        tables.close()
