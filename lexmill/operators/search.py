@@ -40,7 +40,7 @@ def search_company(rows: DataFrame, query: str, plan: company.Plan | None = None
     plan = plan or company.make_plan(query)
     names = party_fields(rows)
     cells = rows.select(F.explode(F.array_distinct(F.array(*[text(c) for c in names]))).alias("cell")).where("cell != ''")
-    hits = company.match_cells(cells, "cell", plan, scores=False).where("match.matched").select("cell")
+    hits = company.matched_cells(cells, "cell", plan)
     keys = rows.select(page, row, F.explode(F.array_distinct(F.array(*[text(c) for c in names]))).alias("cell"))
     matched = keys.join(hits, "cell", "left_semi").select(page, row).distinct().withColumn("_hit", F.lit(True))
     marked = rows.join(matched, [page, row], "left")
