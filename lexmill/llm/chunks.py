@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.common import cut_lineage, map_rows
+from lexmill.llm.common import Written, cut_lineage, map_rows
+from lexmill.llm.ranks import rerank
 from lexmill.llm.spans import remove_spans, row_key
 
 _GEAR = np.random.default_rng(9).integers(0, 1 << 32, 256, dtype=np.int64).astype(np.uint32)
@@ -88,13 +89,14 @@ def chunk_rows(docs: DataFrame, mean: int = 48, least: int = 32, most: int = 102
 def repeated_chunks(docs: DataFrame, mean: int = 48, least: int = 32, most: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, start, end): the chunks whose digest occurs in an earlier place, by id and then by position. The first occurrence is not among them.
 
-    Firsts are partial minima of a task before they are shuffled, and the join back may split a frequent digest. Equal rows are one document here.
+    Chunks are sorted once by digest and place, so that all but the first of equal ones stand behind it; a digest that very many chunks have fills many ranges.
+    Equal rows are one document here.
     """
+    tables = Written(docs.sparkSession, "chunks")
     chunks = chunk_rows(docs, mean, least, most, id_col, text_col)
-    place = F.struct(F.col("doc").isNotNull().alias("known"), F.col("doc"), F.col("key"), F.col("start"))
-    firsts = chunks.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
-    firsts = cut_lineage(firsts.select("d1", "d2", F.col("first.key").alias("k"), F.col("first.start").alias("s")))
-    return chunks.join(firsts, ["d1", "d2"]).where((F.col("key") != F.col("k")) | (F.col("start") != F.col("s"))).select("key", "start", "end")
+    out = cut_lineage(rerank(tables, "sorted", chunks, ["d1", "d2"], ["doc", "key", "start"], place=["key", "start"]).select("key", "start", "end"))
+    tables.close()
+    return out
 
 
 def dedup_chunks(docs: DataFrame, mean: int = 48, least: int = 32, most: int = 1024, least_run: int = 96, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
@@ -104,5 +106,4 @@ def dedup_chunks(docs: DataFrame, mean: int = 48, least: int = 32, most: int = 1
     chunks stood before loses all its bytes, also one under ``least`` bytes. Null and empty texts are empty and lose nothing; a null id comes first in the order.
     Rows that are equal in id and text are one document: none of them is a repeat of another. Other columns are not read.
     """
-    spans = cut_lineage(repeated_chunks(docs, mean, least, most, id_col, text_col))
-    return remove_spans(docs, spans, id_col, text_col, keep_text, least_run)
+    return remove_spans(docs, repeated_chunks(docs, mean, least, most, id_col, text_col), id_col, text_col, keep_text, least_run)

@@ -248,6 +248,12 @@ def test_ranks_across_ranges(spark):
     assert [p for _, p in order] == sorted(set(pairs)) and len({(got[i]["rank"], pairs[i]) for i in got}) == len(order)
     assert {r["at"] for r in ranks.rerank(tables, "some", df, ["a", "b"], ["at"]).collect()} == {i for i in got if not got[i]["alone"]}
     assert ranks.rerank(tables, "none", df.limit(0), ["a", "b"], ["at"]).collect() == []
+    again = df.unionByName(df.where("at < 40 or at > 290")).withColumn("doc", df.at % 7)  # some rows stand there twice
+    found = sorted((r["doc"], r["at"]) for r in ranks.rerank(tables, "later", again, ["a", "b"], ["doc", "at"], place=["doc", "at"]).collect())
+    least = {p: min((i % 7, i) for i, q in enumerate(pairs) if q == p) for p in pairs}
+    assert found == sorted((i % 7, i) for i, p in enumerate(pairs) for _ in range(1 + (i < 40 or i > 290)) if (i % 7, i) != least[p])
+    same = spark.createDataFrame([(1, 1, 5)] * 400 + [(1, 1, 6)] * 3, "a long, b long, at long")
+    assert [r["at"] for r in ranks.rerank(tables, "same", same, ["a", "b"], ["at"], place=["at"]).collect()] == [6] * 3
     tables.close()
 
 
