@@ -33,17 +33,24 @@ def row_groups(rows: DataFrame, page: str = "page_id", row: str = "row_no") -> D
     return owned.where(F.col("_start").isNotNull()).groupBy(page, F.col("_start").alias("start_row")).agg(F.max(row).alias("end_row"), *first, *extra)
 
 
+def near_hits(marks: DataFrame, hit: str, page: str) -> DataFrame:
+    """The marks of the pages that have a hit: the others are not dealt out at all."""
+    return marks.join(marks.where(hit).select(page).distinct(), page, "left_semi")
+
+
 def matched_runs(rows: DataFrame, matched: Column, page: str = "page_id", row: str = "row_no") -> DataFrame:
     """The matched rows and the run of rows that follows each: with a history field and without a primary one. Adds ``_is_continuation``.
 
-    Rows inside a run are not matched anew. A run ends at the first row that is not such a one; that row may match itself.
+    Rows inside a run are not matched anew. A run ends at the first row that is not such a one; that row may match itself. Two phases: the rows' marks alone are
+    dealt by page, those of pages with a match, and all columns are then fetched for the places that were found.
     """
-    order = Window.partitionBy(page).orderBy(row)
     breaks = any_filled(rows, PRIMARY_FIELDS) | ~any_filled(rows, HISTORY_FIELDS)
-    marked = rows.withColumn("_match", F.coalesce(matched, F.lit(False))).withColumn("_island", F.sum(breaks.cast("int")).over(order))
+    marks = rows.select(page, row, F.coalesce(matched, F.lit(False)).alias("_match"), breaks.alias("_break"))
+    order = Window.partitionBy(page).orderBy(row)
+    islands = near_hits(marks, "_match", page).withColumn("_island", F.sum(F.col("_break").cast("int")).over(order))
     first = F.min(F.when(F.col("_match"), F.col(row))).over(Window.partitionBy(page, "_island"))
-    found = marked.withColumn("_first", first).where(F.col(row) >= F.col("_first"))
-    return found.withColumn("_is_continuation", F.col(row) > F.col("_first")).drop("_match", "_island", "_first")
+    places = islands.withColumn("_first", first).where(F.col(row) >= F.col("_first")).select(page, row, (F.col(row) > F.col("_first")).alias("_is_continuation"))
+    return rows.join(places, [page, row])
 
 
 def blank_continuations(rows: DataFrame, query: str) -> DataFrame:
@@ -57,7 +64,15 @@ def blank_continuations(rows: DataFrame, query: str) -> DataFrame:
 
 
 def carried_fate(rows: DataFrame, matched: Column, page: str = "page_id", row: str = "row_no") -> DataFrame:
-    """Rows with a party are kept if they match; rows without one share the fate of the last row before them that has one, and go if there is none."""
+    """Rows with a party are kept if they match; rows without one share the fate of the last row before them that has one, and go if there is none. In two phases, as above."""
     order = Window.partitionBy(page).orderBy(row)
-    fate = F.last(F.when(any_filled(rows, PARTY_FIELDS), F.coalesce(matched, F.lit(False))), ignorenulls=True).over(order)
-    return rows.withColumn("_kept", F.coalesce(fate, F.lit(False))).where("_kept").drop("_kept")
+    party = any_filled(rows, PARTY_FIELDS)
+    marks = rows.select(page, row, party.alias("_party"), (party & F.coalesce(matched, F.lit(False))).alias("_match"))
+    fate = F.last(F.when(F.col("_party"), F.col("_match")), ignorenulls=True).over(order)
+    kept = near_hits(marks, "_match", page).withColumn("_kept", fate).where("_kept").select(page, row)
+    return late_rows(rows, kept, [page, row])
+
+
+def late_rows(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """S3: all columns of the rows whose keys were found in a scan of few columns."""
+    return rows.join(keys.select(*on), on, "left_semi")

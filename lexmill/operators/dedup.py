@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions.cases import dedup_key
 from lexmill.functions.core import is_blank, strip, text
 from lexmill.operators.continuation import row_groups
 from lexmill.schema import KEY_FIELDS
+from lexmill.storage import cut_lineage, delete
 
 
 def key_of(df: DataFrame) -> Column:
@@ -73,7 +74,7 @@ def first_of(rows: DataFrame, key: str, order: list[str], keep_blank: bool = Fal
 
 def new_rows(batch: DataFrame, stored: DataFrame, order: list[str], key: str = "key") -> DataFrame:
     """The first row of each key of a batch that is not stored yet, without ``key`` blank."""
-    return first_of(batch, key, order).join(stored.select(key).distinct(), key, "left_anti")
+    return first_of(batch, key, order).join(stored.select(key), key, "left_anti")
 
 
 def known_keys(*tables: DataFrame, key: str = "key") -> DataFrame:
@@ -99,25 +100,34 @@ def case_numbers(rows: DataFrame, column: str = "caseNumber") -> DataFrame:
     return rows.select(strip(text(column)).alias(column)).where(F.col(column) != "").distinct()
 
 
+#: Folders that a store's rows are dealt to by their key.
+BUCKETS = 16
+
+
 def write_cases(batch: DataFrame, path: str, order: list[str], batch_id: int | None = None) -> int:
-    """K1: appends the new rows of a batch to the store, a Parquet table with the column ``key``; returns how many.
+    """Appends the new rows of a batch to the store, a Parquet table with the columns ``key`` and ``bucket``; returns how many.
 
-    Keys are read from the data itself, so they are stored exactly when the rows are. With a ``batch_id`` the rows land in that batch's own partition, which a
-    retry replaces: the rows of other batches alone count as stored then.
+    Rows lie in folders by a hash of their key, and a batch reads the keys of its own buckets alone, anew each time. Keys are read from the rows themselves, so they
+    are stored exactly when the rows are. With a ``batch_id`` the rows land in that batch's own folders, which a retry replaces: the rows of other batches alone count
+    as stored then. The buckets of the batch, at most BUCKETS numbers, reach the driver.
     """
     spark = batch.sparkSession
     keyed = batch if "key" in batch.columns else batch.withColumn("key", key_of(batch))
+    firsts = cut_lineage(first_of(keyed, "key", order).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int")))
+    touched = [r["bucket"] for r in firsts.select("bucket").distinct().collect()]
     try:
-        stored = spark.read.parquet(path)
+        stored = spark.read.parquet(path).where(F.col("bucket").isin(touched))
     except Exception as error:  # nothing is stored yet
         if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
             raise
         stored = None
     if stored is not None and batch_id is not None:
         stored = stored.where(F.col("batch_id") != batch_id)
-    fresh = new_rows(keyed, stored, order) if stored is not None else first_of(keyed, "key", order)
-    if batch_id is None:
-        fresh.write.mode("append").parquet(path)
-        return spark.read.parquet(path).count() - (stored.count() if stored is not None else 0)
-    fresh.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
-    return spark.read.parquet(path).where(F.col("batch_id") == batch_id).count()
+    fresh = firsts if stored is None else firsts.join(stored.select("key", "bucket"), ["key", "bucket"], "left_anti")
+    seen = Observation()
+    folders = ["bucket"]
+    if batch_id is not None:
+        fresh, folders = fresh.withColumn("batch_id", F.lit(batch_id).cast("long")), ["batch_id", "bucket"]
+        delete(spark, f"{path}/batch_id={batch_id}")  # what an earlier try of this batch left
+    fresh.select(*keyed.columns, *folders).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(*folders).parquet(path)
+    return seen.get["n"]

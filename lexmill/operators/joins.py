@@ -24,8 +24,8 @@ def overlaid(hits: DataFrame, details: DataFrame, on: list[str], names: list[str
 
 
 def lookup(rows: DataFrame, dim: DataFrame, on: str, value: str, default: Column) -> DataFrame:
-    """A code's name from a small dimension, or the default."""
-    return rows.join(F.broadcast(dim.select(on, value)), on, "left").withColumn(value, F.coalesce(value, default))
+    """A code's name from a dimension, or the default. The dimension is sent to all tasks if Spark finds it small enough, else both sides are dealt by the code."""
+    return rows.join(dim.select(on, value), on, "left").withColumn(value, F.coalesce(value, default))
 
 
 def requests(cells: DataFrame) -> DataFrame:

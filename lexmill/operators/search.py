@@ -36,14 +36,16 @@ def search_individual(rows: DataFrame, query: str, page: str = "page_id", row: s
 
 
 def search_company(rows: DataFrame, query: str, plan: company.Plan | None = None, page: str = "page_id", row: str = "row_no") -> DataFrame:
-    """The same for a company. Each distinct cell is decided once; the cells that match are joined back to the rows, field by field."""
+    """The same for a company. Each distinct cell is decided once; the cells that match find their places, and those their rows.
+
+    Cells that cannot match by a search for plain words are left out before any of them is moved.
+    """
     plan = plan or company.make_plan(query)
     names = party_fields(rows)
-    cells = rows.select(F.explode(F.array_distinct(F.array(*[text(c) for c in names]))).alias("cell")).where("cell != ''")
-    hits = company.matched_cells(cells, "cell", plan)
-    keys = rows.select(page, row, F.explode(F.array_distinct(F.array(*[text(c) for c in names]))).alias("cell"))
-    matched = keys.join(hits, "cell", "left_semi").select(page, row).distinct().withColumn("_hit", F.lit(True))
-    marked = rows.join(matched, [page, row], "left")
+    listed = F.array_distinct(F.filter(F.array(*[text(c) for c in names]), lambda c: (c != "") & company.worth_a_look(c, plan)))
+    cells = rows.select(page, row, F.explode(listed).alias("cell"))
+    places = cells.join(company.matched_cells(cells, "cell", plan), "cell", "left_semi").select(page, row).distinct().withColumn("_hit", F.lit(True))
+    marked = rows.join(places, [page, row], "left")
     return blank_continuations(matched_runs(marked, F.coalesce("_hit", F.lit(False)), page, row).drop("_hit"), query)
 
 
@@ -64,10 +66,3 @@ def filter_exact(rows: DataFrame, query: str, entity: str, page: str = "page_id"
     for c in party_fields(rows):
         test = test | name_in_cell(c, F.lit(wanted))
     return carried_fate(rows, test, page, row)
-
-
-def late_rows(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """S3: all columns of the rows whose keys were found in a scan of few columns."""
-    return rows.join(keys.select(*on).distinct(), on, "left_semi")
-
-

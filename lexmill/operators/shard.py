@@ -5,16 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexmill.operators.layout import number_rows
 from lexmill.schema import NCLT_BENCHES, NCLT_PARTY_TYPES, NCLT_STATUSES, dimension
 
 
 def assign_shards(items: DataFrame, order: list[str], total: int, by: list[str] | None = None) -> DataFrame:
-    """``shard`` from 1, even and contiguous in the order. One or fewer shards: all items in the first.
+    """``shard`` from 1, even and contiguous in the total order; the first shards are larger by one where they cannot all be even. One or fewer shards: all items in the first.
 
-    ``items`` is a small dimension; for a large table give ``by``, and each group of it is dealt on its own.
+    All items are numbered by range counts, so that no task holds them all; with ``by`` each group, which one task holds, is dealt on its own.
     """
-    window = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
-    return items.withColumn("shard", F.ntile(total).over(window) if total > 1 else F.lit(1))
+    if total <= 1:
+        return items.withColumn("shard", F.lit(1))
+    if by:
+        return items.withColumn("shard", F.ntile(total).over(Window.partitionBy(*by).orderBy(*order)))
+    numbered = number_rows(items, order, "_n")
+    least, more = divmod(numbered.count(), total)
+    n, large = F.col("_n"), more * (least + 1)
+    shard = F.when(n < large, F.floor(n / F.lit(least + 1))).otherwise(more + F.floor((n - large) / F.lit(max(1, least))))
+    return numbered.withColumn("shard", (shard + 1).cast("int")).drop("_n")
 
 
 def slice_for(items: DataFrame, order: list[str], shard: int, total: int) -> DataFrame:
@@ -50,7 +58,7 @@ def nclt_grid(spark: SparkSession, company: str, first_year: int, last_year: int
 def remaining(units: DataFrame, progress: DataFrame, by: list[str]) -> DataFrame:
     """T4: the units after the last one done, by the keys of the progress table (``unit`` there is the last done); all where none is known."""
     done = progress.select(*by, F.col("unit").alias("_done"))
-    return units.join(F.broadcast(done), by, "left").where(F.col("_done").isNull() | (F.col("unit") > F.col("_done"))).drop("_done")
+    return units.join(done, by, "left").where(F.col("_done").isNull() | (F.col("unit") > F.col("_done"))).drop("_done")
 
 
 def realign(progress: DataFrame, assigned: DataFrame, owner: list[str], item: list[str]) -> DataFrame:

@@ -44,23 +44,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """SQL with the names of tables in braces, over the tables of a folder."""
-    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in text})
-
-
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt evenly before costly work on each: a small file is one partition, and adaptive execution makes small shuffles one."""
-    return df.repartition(parts(df.sparkSession))
+def spread(scan: DataFrame) -> DataFrame:
+    """A table dealt evenly before costly work on each row, if it has fewer partitions than there are cores, as a small file has; a large one stays as it is read."""
+    own = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return scan.repartition(parts(scan.sparkSession)) if own < scan.sparkSession.sparkContext.defaultParallelism else scan
 
 
-def case_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dealt by page, which is what windows over continuation rows are partitioned by."""
-    return sql(spark, sf_dir, CASES).repartition(parts(spark), "page_id")
+def case_view(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
+    """The case rows, as they come: what needs the rows of a page together deals them by page itself. ``costly``: there is much work on each row, see spread."""
+    given = {t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in CASES}
+    if costly:
+        given["orders"] = spread(given["orders"])
+    return spark.sql(CASES, **given)
 
 
 def plain(text: str) -> str:

@@ -27,8 +27,11 @@ def query(name: str, oracle: str | None = None):
     def add(f):
         QUERIES[name] = f
         if oracle is not None:
-            oracle_text = oracle.strip()
-            ORACLE_SQL[name] = f"{VIEW}, {oracle_text[5:]}" if oracle_text.startswith("WITH ") else f"{VIEW} {oracle_text}"
+            own = oracle.strip()
+            if own.startswith("WITH RECURSIVE "):
+                ORACLE_SQL[name] = f"WITH RECURSIVE {VIEW[5:]}, {own[15:]}"
+            else:
+                ORACLE_SQL[name] = f"{VIEW}, {own[5:]}" if own.startswith("WITH ") else f"{VIEW} {own}"
         return f
 
     return add
@@ -123,7 +126,7 @@ def clean_sql(x: str) -> str:
 
 @query("q_clean_party", f"SELECT k, {clean_sql('petitioner')} AS petitioner, {clean_sql('respondent')} AS respondent FROM cases")
 def clean_party(spark, d):
-    return case_view(spark, d).select("k", parties.clean_party_name("petitioner").alias("petitioner"), parties.clean_party_name("respondent").alias("respondent"))
+    return case_view(spark, d, costly=True).select("k", parties.clean_party_name("petitioner").alias("petitioner"), parties.clean_party_name("respondent").alias("respondent"))
 
 
 def norm_steps(source: str) -> str:
@@ -152,7 +155,7 @@ def norm_steps(source: str) -> str:
 
 @query("q_norm_party", f"WITH given AS (SELECT k, petitioner AS x FROM cases), {norm_steps('given')} SELECT k, x AS name FROM normal")
 def norm_party(spark, d):
-    return case_view(spark, d).select("k", parties.normalize_party_name("petitioner").alias("name"))
+    return case_view(spark, d, costly=True).select("k", parties.normalize_party_name("petitioner").alias("name"))
 
 
 #: Parties of the view's respondents: quoted ones, or those between commas but for an address that begins R/O.
@@ -168,7 +171,7 @@ WITH {PARTS_SQL}, {norm_steps('given')}, firsts AS (SELECT k, x, min(i) AS i FRO
 SELECT c.k, coalesce(cells.names, '') AS names FROM cases c LEFT JOIN cells ON c.k = cells.k
 """)
 def multi_party(spark, d):
-    return case_view(spark, d).select("k", parties.normalize_multi_party("respondent").alias("names"))
+    return case_view(spark, d, costly=True).select("k", parties.normalize_multi_party("respondent").alias("names"))
 
 
 @query("q_normalize_rows", f"""
@@ -178,7 +181,7 @@ SELECT c.k, CASE WHEN petitioner = '' AND respondent = '' AND otherPetitioner =
 FROM cases c JOIN normal m ON c.k = m.k
 """)
 def normalize_rows(spark, d):
-    return builders.normalize_rows(case_view(spark, d)).select("k", "petitioner", F.col("caseStatus").alias("status"))
+    return builders.normalize_rows(case_view(spark, d, costly=True)).select("k", "petitioner", F.col("caseStatus").alias("status"))
 
 
 @query("q_case_numbers", """
@@ -253,15 +256,96 @@ def errors(spark, d):
     )
 
 
+def canonical_sql(x: str) -> str:
+    known = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in company.CANONICAL.items())
+    t = f"trim(upper(trim({x})))"
+    for p in (company.NUMBERING, company.FIRM_COMPAT):
+        t = f"trim(regexp_replace({t}, '{p}', ''))"
+    t = f"regexp_replace({t}, '{company.COUNTRY}', ' INDIA ', 'g')"
+    t = f"trim(regexp_replace({t}, '{company.DESIGNATION}', ''))"
+    return f"list_aggregate(list_transform(regexp_extract_all({t}, '[A-Z0-9]+|&'), lambda w: CASE w {known} ELSE w END), 'string_agg', ' ')"
+
+
+LEGAL = "(LIMITED\\sLIABILITY\\sPARTNERSHIP|PRIVATE\\sLIMITED|LIMITED|LLP|INCORPORATED|INC|CORPORATION|COMPANY)"
+
+
+def core_sql(x: str) -> str:
+    """M2 of a normalised name."""
+    return f"trim(regexp_replace({x}, '(^|\\s){LEGAL}$', ''))"
+
+
+def normal_sql(x: str) -> str:
+    """M1, with the single P before LIMITED."""
+    return f"regexp_replace(coalesce({canonical_sql(x)}, ''), '(^|\\s)P LIMITED$', '\\1PRIVATE LIMITED')"
+
+
+#: M9 over a table ``pairs`` (a, b) of letters and digits: one step for each character of a, which takes the first free equal one of b within reach.
+WINKLER_SQL = """
+steps AS (
+  SELECT a, b, CAST(0 AS BIGINT) AS i, repeat('1', length(b)) AS free, '' AS mine, greatest(length(a), length(b)) // 2 - 1 AS reach FROM pairs WHERE a <> '' AND b <> '' AND a <> b
+  UNION ALL
+  SELECT a, b, i + 1, CASE WHEN j IS NULL THEN free ELSE substr(free, 1, j) || '0' || substr(free, j + 2) END, CASE WHEN j IS NULL THEN mine ELSE mine || substr(a, i + 1, 1) END, reach
+  FROM (SELECT *, list_filter(range(greatest(0, i - reach), least(i + reach + 1, length(b))), lambda p: substr(free, p + 1, 1) = '1' AND substr(b, p + 1, 1) = substr(a, i + 1, 1))[1] AS j FROM steps WHERE i < length(a))
+), taken AS (
+  SELECT a, b, mine, length(mine) AS n, list_aggregate(list_transform(list_filter(range(length(b)), lambda p: substr(free, p + 1, 1) = '0'), lambda p: substr(b, p + 1, 1)), 'string_agg', '') AS theirs FROM steps WHERE i = length(a)
+), jaro AS (
+  SELECT a, b, CASE WHEN n = 0 THEN 0.0 ELSE (CAST(n AS DOUBLE) / length(a) + CAST(n AS DOUBLE) / length(b) + (n - len(list_filter(range(n), lambda p: substr(mine, p + 1, 1) <> substr(theirs, p + 1, 1))) / 2.0) / n) / 3 END AS j,
+    CASE WHEN substr(a, 1, 4) = substr(b, 1, 4) THEN least(4, length(a), length(b)) WHEN substr(a, 1, 3) = substr(b, 1, 3) THEN least(3, length(a), length(b)) WHEN substr(a, 1, 2) = substr(b, 1, 2) THEN least(2, length(a), length(b)) WHEN substr(a, 1, 1) = substr(b, 1, 1) THEN 1 ELSE 0 END AS same FROM taken
+), scored AS (
+  SELECT a, b, CAST(round_even(100 * CASE WHEN j > 0.7 THEN least(1.0, j + same * 0.1 * (1 - j)) ELSE j END, 0) AS INT) AS score FROM jaro
+  UNION ALL SELECT a, b, CASE WHEN a = b AND a <> '' THEN 100 ELSE 0 END FROM pairs WHERE a = '' OR b = '' OR a = b
+)
+"""
+
+
+def company_sql(query: str) -> str:
+    """M6 to M10 of the cells of a table ``given`` (cell), to ``decided``: for a query without short words or initials, whose variants differ in their endings alone."""
+    plan = company.make_plan(query)
+    quote = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+    alias = lambda w: "(" + "|".join(company.ALIASES.get(w, (w,))) + ")"
+    found = " ".join(f"WHEN regexp_matches(upper(cell), '(^|[^A-Z0-9]){'[^A-Z0-9]+'.join(alias(w) for w in company.normalize(v).split())}([^A-Z0-9]|$)') THEN '{v}'" for v in plan.variants)
+
+    def present(t: str) -> str:
+        forms = quote({company.CANONICAL.get(a, a) for a in (t, *company.ALIASES.get(t, ()))})
+        stem = f" OR list_contains(list_transform(list_filter(words, lambda w: length(w) > 4), lambda w: rtrim(w, 'S')), '{t.rstrip('S')}')" if len(t) > 4 else ""
+        return f"(list_has_any(words, {forms}){stem})"
+
+    hard = [t for t in plan.tokens if t not in company.SOFT_TOKENS]
+    need = hard if len(hard) > 1 else list(plan.tokens)
+    return f"""
+listed AS (SELECT cell, [cell] || CASE WHEN len(regexp_extract_all(cell, '"([^"]+)"', 1)) > 0 THEN regexp_extract_all(cell, '"([^"]+)"', 1) WHEN contains(cell, ',') THEN string_split(cell, ',') ELSE [] END AS names FROM given WHERE cell <> ''),
+named AS (SELECT cell, upper(trim(regexp_replace(name, '\\s+', ' ', 'g'))) AS name, i FROM (SELECT cell, unnest(names) AS name, generate_subscripts(names, 1) AS i FROM listed)),
+firsts_of AS (SELECT cell, name, min(i) AS i FROM named WHERE name <> '' GROUP BY cell, name),
+normals AS (SELECT cell, i, {normal_sql('name')} AS normal FROM firsts_of),
+twice AS (SELECT *, {normal_sql('normal')} AS second FROM normals WHERE normal <> ''),
+parts_of AS (SELECT cell, i, normal, {core_sql('normal')} AS core, string_split({core_sql('normal')}, ' ') AS words, regexp_replace({normal_sql('second')}, '[^A-Z0-9]+', '', 'g') AS letters FROM twice),
+judged AS (SELECT *, core <> '' AND (contains(core, '{plan.core}') OR ({' AND '.join(present(t) for t in plan.tokens)})) AS has_core, {' + '.join(f'CAST({present(t)} AS INT)' for t in need)} >= 0.75 * {len(need)} AS enough FROM parts_of),
+wholes AS (SELECT cell, regexp_replace({normal_sql('second')}, '[^A-Z0-9]+', '', 'g') AS letters FROM (SELECT cell, {normal_sql('cell')} AS second FROM listed)),
+equal_names AS (SELECT unnest({quote(plan.equals)}) AS b),
+pairs AS (SELECT DISTINCT letters AS a, b FROM (SELECT letters FROM judged WHERE has_core OR enough UNION SELECT letters FROM wholes) CROSS JOIN equal_names), {WINKLER_SQL},
+best AS (SELECT a AS letters, max(score) AS score FROM scored GROUP BY a),
+hits AS (SELECT j.cell, min_by({{'normal': normal, 'score': score, 'has_core': has_core}}, i) AS h FROM judged j JOIN best USING (letters) WHERE has_core OR (enough AND score >= {plan.accept}) GROUP BY j.cell),
+decided AS (
+  SELECT w.cell, v IS NOT NULL OR h IS NOT NULL AS matched, CASE WHEN v IS NOT NULL THEN greatest(best.score, 95) WHEN h.has_core THEN greatest(h.score, 90) WHEN h IS NOT NULL THEN h.score ELSE best.score END AS score,
+    CASE WHEN v IS NOT NULL THEN 'variant_regex' WHEN h.has_core THEN 'core_tokens' WHEN h IS NOT NULL THEN 'jaro_winkler' ELSE 'no_match' END AS method,
+    CASE WHEN v IS NOT NULL THEN v WHEN h.has_core THEN '{plan.core}' WHEN h IS NOT NULL THEN '{plan.normal}' ELSE '' END AS variant
+  FROM (SELECT cell, letters, CASE {found} END AS v FROM wholes) w JOIN best USING (letters) LEFT JOIN hits ON hits.cell = w.cell
+  UNION ALL SELECT cell, false, 0, 'empty', '' FROM given WHERE cell = ''
+)
+"""
+
+
 # ---------------------------------------------------------------- search
 
 TERM = "MACHINERY 13 Traders"
-RUNS_SQL = """
-marked AS (SELECT *, (regexp_matches(upper(respondent), {p}) OR regexp_matches(upper(otherRespondent), {p}) OR regexp_matches(upper(petitioner), {p}) OR regexp_matches(upper(otherPetitioner), {p})) AS hit,
-  (trim(caseNumber) <> '' OR trim(respondent) <> '' OR trim(petitioner) <> '' OR trim(caseType) <> '' OR trim(registrationDate) <> '' OR trim(listingHistory) = '') AS brk FROM cases),
+BREAK_SQL = "(trim(caseNumber) <> '' OR trim(respondent) <> '' OR trim(petitioner) <> '' OR trim(caseType) <> '' OR trim(registrationDate) <> '' OR trim(listingHistory) = '')"
+ISLANDS_SQL = """
 islands AS (SELECT *, sum(CASE WHEN brk THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY row_no) AS island FROM marked),
 firsts AS (SELECT *, min(CASE WHEN hit THEN row_no END) OVER (PARTITION BY page_id, island) AS first_hit FROM islands)
 """
+RUNS_SQL = f"""
+marked AS (SELECT *, (regexp_matches(upper(respondent), {{p}}) OR regexp_matches(upper(otherRespondent), {{p}}) OR regexp_matches(upper(petitioner), {{p}}) OR regexp_matches(upper(otherPetitioner), {{p}})) AS hit, {BREAK_SQL} AS brk FROM cases), {ISLANDS_SQL}
+"""
 
 
 @query("q_search_individual", f"""
@@ -275,11 +359,19 @@ def search_individual(spark, d):
     return found.select("page_id", "row_no", "partyName", "caseNumber", "listingHistory", F.col("_is_continuation").alias("continuation"))
 
 
-@query("q_search_company")
+FIRM = "Machinery 13 Traders Private Limited"
+
+
+@query("q_search_company", f"""
+WITH RECURSIVE given AS (SELECT petitioner AS cell FROM cases UNION SELECT respondent FROM cases UNION SELECT otherPetitioner FROM cases UNION SELECT otherRespondent FROM cases), {company_sql(FIRM)},
+good AS (SELECT cell FROM decided WHERE matched),
+marked AS (SELECT *, (petitioner IN (FROM good) OR respondent IN (FROM good) OR otherPetitioner IN (FROM good) OR otherRespondent IN (FROM good)) AS hit, {BREAK_SQL} AS brk FROM cases), {ISLANDS_SQL}
+SELECT page_id, row_no, CASE WHEN row_no > first_hit THEN '' ELSE '{FIRM}' END AS partyName, CASE WHEN row_no > first_hit THEN '' ELSE caseNumber END AS caseNumber, row_no > first_hit AS continuation
+FROM firsts WHERE row_no >= first_hit
+""")
 def search_company(spark, d):
-    """M10 has no SQL: tests hold it against a plain matcher."""
-    v = case_view(spark, d).withColumn("partyName", F.lit(""))
-    found = search.search_company(v, "Machinery 13 Traders Private Limited")
+    v = case_view(spark, d, costly=True).withColumn("partyName", F.lit(""))
+    found = search.search_company(v, FIRM)
     return found.select("page_id", "row_no", "partyName", "caseNumber", F.col("_is_continuation").alias("continuation"))
 
 
@@ -289,7 +381,7 @@ fate AS (SELECT c.page_id, c.row_no, c.k, last_value(CASE WHEN petitioner <> ''
 SELECT page_id, row_no, k FROM fate WHERE kept
 """)
 def name_filter(spark, d):
-    return search.filter_exact(case_view(spark, d), "M/s Machinery 13 Traders Private Limited", "individual").select("page_id", "row_no", "k")
+    return search.filter_exact(case_view(spark, d, costly=True), "M/s Machinery 13 Traders Private Limited", "individual").select("page_id", "row_no", "k")
 
 
 @query("q_projection", "SELECT k AS caseNo, '' AS missing, trim(courtType) AS courtType FROM cases".replace("k AS caseNo", "caseNumber"))
@@ -601,19 +693,9 @@ def systems(spark, d):
 # ---------------------------------------------------------------- companies
 
 
-def canonical_sql(x: str) -> str:
-    known = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in company.CANONICAL.items())
-    t = f"trim(upper(trim({x})))"
-    for p in (company.NUMBERING, company.FIRM_COMPAT):
-        t = f"trim(regexp_replace({t}, '{p}', ''))"
-    t = f"regexp_replace({t}, '{company.COUNTRY}', ' INDIA ', 'g')"
-    t = f"trim(regexp_replace({t}, '{company.DESIGNATION}', ''))"
-    return f"list_aggregate(list_transform(regexp_extract_all({t}, '[A-Z0-9]+|&'), lambda w: CASE w {known} ELSE w END), 'string_agg', ' ')"
-
-
 @query("q_company_norm", f"WITH named AS (SELECT k, coalesce({canonical_sql('petitioner')}, '') AS name FROM cases) SELECT k, name, trim(regexp_replace(name, '(^|\\s)(LIMITED\\sLIABILITY\\sPARTNERSHIP|PRIVATE\\sLIMITED|LIMITED|LLP|INCORPORATED|INC|CORPORATION|COMPANY)$', '')) AS core FROM named")
 def company_norm(spark, d):
-    named = case_view(spark, d).select("k", company.normalize_column("petitioner").alias("name"))
+    named = case_view(spark, d, costly=True).select("k", company.normalize_column("petitioner").alias("name"))
     return named.select("k", "name", company.core_column(F.col("name")).alias("core"))
 
 
@@ -622,28 +704,53 @@ SELECT k FROM cases WHERE regexp_matches(upper(petitioner), '(^|[^A-Z0-9])MACHIN
 """)
 def company_regex(spark, d):
     plan = company.make_plan("Machinery 13 Traders")
-    return case_view(spark, d).where(company.variant_found(F.col("petitioner"), plan) != "").select("k")
+    return case_view(spark, d).where(company.variant_match(F.col("petitioner"), plan)).select("k")
+
 
+def company_match_of(query_text: str, column: str):
+    def run(spark, d):
+        found = company.match_cells(case_view(spark, d, costly=True), column, company.make_plan(query_text))
+        return found.select("cell", "match.matched", "match.score", "match.method", "match.variant")
 
-@query("q_company_match")
-def company_match(spark, d):
-    found = company.match_cells(case_view(spark, d), "petitioner", company.make_plan("Machinary 13 Trader Pvt Ltd"))
-    return found.select("cell", "match.matched", "match.score", "match.method", "match.variant")
+    return run
 
 
-@query("q_jw_scores")
+def match_oracle(query_text: str, column: str) -> str:
+    return f"WITH RECURSIVE given AS (SELECT DISTINCT {column} AS cell FROM cases), {company_sql(query_text)} SELECT cell, matched, score, method, variant FROM decided"
+
+
+query("q_company_match", match_oracle("Machinary 13 Trader Pvt Ltd", "petitioner"))(company_match_of("Machinary 13 Trader Pvt Ltd", "petitioner"))
+query("q_company_match_near", match_oracle("Machinery Furnitures 13 Tradders Mumbai Private Limited", "petitioner"))(company_match_of("Machinery Furnitures 13 Tradders Mumbai Private Limited", "petitioner"))
+query("q_company_match_listed", match_oracle("Supplier Limited", "respondent"))(company_match_of("Supplier Limited", "respondent"))
+
+
+@query("q_jw_scores", f"""
+WITH RECURSIVE names AS (SELECT DISTINCT p_name, p_type, regexp_replace({normal_sql('p_name')}, '[^A-Z0-9]+', '', 'g') AS a, regexp_replace({normal_sql('p_type')}, '[^A-Z0-9]+', '', 'g') AS b FROM part),
+pairs AS (SELECT DISTINCT a, b FROM names), {WINKLER_SQL}
+SELECT p_name, p_type, score FROM names JOIN scored USING (a, b)
+""")
 def jw_scores(spark, d):
     return company.scores(table(spark, d, "part").select("p_name", "p_type").distinct(), "p_name", "p_type")
 
 
-@query("q_blocked_pairs", """
-WITH cells AS (SELECT DISTINCT p_name AS cell FROM part), words AS (SELECT DISTINCT cell, CASE WHEN length(w) > 4 THEN rtrim(w, 'S') ELSE w END AS w FROM (SELECT cell, unnest(string_split(upper(cell), ' ')) AS w FROM cells)),
-asked AS (SELECT unnest(['red widgets', 'the small gear']) AS q), tokens AS (SELECT DISTINCT q, CASE WHEN length(w) > 4 THEN rtrim(w, 'S') ELSE w END AS w FROM (SELECT q, unnest(string_split(upper(q), ' ')) AS w FROM asked) WHERE w <> 'THE')
-SELECT DISTINCT q AS asked, cell FROM tokens JOIN words USING (w)
-""".replace("WITH cells AS", "WITH partcells AS").replace("FROM cells)", "FROM partcells)"))
-def blocked_pairs(spark, d):
-    asked = spark.createDataFrame([("red widgets",), ("the small gear",)], "asked string")
-    return company.blocked_pairs(asked, table(spark, d, "part").select(F.col("p_name").alias("cell")), "asked", "cell")
+@query("q_company_plan", """
+SELECT * FROM (VALUES ('AB Foods Ltd', 'AB FOODS LIMITED', CAST(9 AS INT), 'AB FOODS LIMITED; AB FOODS LTD; AB FOODS PRIVATE LIMITED; AB FOODS PVT LTD; AB FOODS; A B FOODS LIMITED; A B FOODS LTD; A B FOODS PRIVATE LIMITED; A B FOODS PVT LTD; A B FOODS; A.B. FOODS LIMITED; A.B. FOODS LTD; A.B. FOODS PRIVATE LIMITED; A.B. FOODS PVT LTD; A.B. FOODS', 'AB AND FOODS; A AND B AND FOODS; A.B. AND FOODS'),
+  ('M K Rao', 'M K RAO', 9, 'M K RAO; M K R A O; M K R.A.O.; MK RAO; MK R A O; MK R.A.O.; M.K. RAO; M.K. R A O; M.K. R.A.O.', 'M AND K AND RAO; M AND K AND R AND A AND O; M AND K AND R.A.O.; MK AND RAO; MK AND R AND A AND O; MK AND R.A.O.; M.K. AND RAO; M.K. AND R AND A AND O; M.K. AND R.A.O.')) t(name, normal, n, variants, keywords)
+""".replace("CAST(9 AS INT)", "CAST(15 AS INT)"))
+def company_plan(spark, d):
+    """M3, M4: what two queries are searched by."""
+    plans = [company.make_plan(n) for n in ("AB Foods Ltd", "M K Rao")]
+    return spark.createDataFrame([(p.name, p.normal, len(p.variants), "; ".join(p.variants), "; ".join(p.keywords)) for p in plans], "name string, normal string, n int, variants string, keywords string")
+
+
+@query("q_many_companies", f"""
+WITH RECURSIVE given AS (SELECT DISTINCT petitioner AS cell FROM cases), {company_sql('Machinery 13 Traders Private Limited')}, one AS (SELECT cell, score, method FROM decided WHERE matched)
+SELECT 'Machinery 13 Traders Private Limited' AS query, cell, score, method FROM one
+""")
+def many_companies(spark, d):
+    """The cells that match each of many queries; the second query finds nothing."""
+    asked = spark.createDataFrame([("Machinery 13 Traders Private Limited",), ("Zzz 7 Qqq",)], "q string")
+    return company.matched_pairs(asked, case_view(spark, d), "q", "petitioner")
 
 
 # ---------------------------------------------------------------- payloads
@@ -792,14 +899,20 @@ def event_first(spark, d):
     return dedup.first_of(keyed, "key", ["event_id"]).select("user_id", "event_type", "event_id")
 
 
+PARTY = "Machinery 13 Traders"
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A party's cases: search, exact names, the first of each key, and counts by court."""
-    v = case_view(spark, sf_dir).withColumn("partyName", F.lit(""))
-    found = search.filter_exact(search.search_individual(v, "Machinery"), "", "individual").where("not _is_continuation")
+    v = case_view(spark, sf_dir, costly=True).withColumn("partyName", F.lit(""))
+    found = search.filter_exact(search.search_individual(v, PARTY), PARTY, "individual").where("not _is_continuation")
     keyed = found.withColumn("key", dedup.key_of(found))
     return reports.court_counts(dedup.first_of(keyed, "key", ["page_id", "row_no"]))
 
 
 QUERIES["q_party_search"] = flagship
-ORACLE_SQL["q_party_search"] = f"{VIEW}, hits AS (SELECT *, row_number() OVER (PARTITION BY {KEY_SQL} ORDER BY page_id, row_no) AS rn FROM cases WHERE contains(upper(petitioner), 'MACHINERY')) SELECT courtType, count(*) AS cases FROM hits WHERE rn = 1 GROUP BY courtType"
-
+ORACLE_SQL["q_party_search"] = f"""
+{VIEW}, given AS (SELECT k, petitioner AS x FROM cases), {norm_steps('given')},
+hits AS (SELECT c.*, row_number() OVER (PARTITION BY {KEY_SQL} ORDER BY page_id, row_no) AS rn FROM cases c JOIN normal m ON c.k = m.k WHERE m.x = 'MACHINERY 13 TRADERS')
+SELECT courtType, count(*) AS cases FROM hits WHERE rn = 1 GROUP BY courtType
+"""
