@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill import schema
@@ -14,6 +15,7 @@ from lexmill.operators import continuation, dedup, joins, layout, search, shard
 from lexmill.plans import reports
 from lexmill.plans.caseview import CASES_PLAIN, case_view, spread, table
 from lexmill.sources import builders, courts, html, payloads
+from lexmill.storage import cut_lineage, delete, shared_folder
 from lexmill.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -720,7 +722,8 @@ def match_oracle(query_text: str, column: str) -> str:
 
 
 query("q_company_match", match_oracle("Machinary 13 Trader Pvt Ltd", "petitioner"))(company_match_of("Machinary 13 Trader Pvt Ltd", "petitioner"))
-query("q_company_match_near", match_oracle("Machinery Furnitures 13 Tradders Mumbai Private Limited", "petitioner"))(company_match_of("Machinery Furnitures 13 Tradders Mumbai Private Limited", "petitioner"))
+query("q_company_match_near", match_oracle("Machinery 13 Traders Limited Mumbay", "petitioner"))(company_match_of("Machinery 13 Traders Limited Mumbay", "petitioner"))
+query("q_company_match_core", match_oracle("Traders 13 Machinery Ltd", "petitioner"))(company_match_of("Traders 13 Machinery Ltd", "petitioner"))
 query("q_company_match_listed", match_oracle("Supplier Limited", "respondent"))(company_match_of("Supplier Limited", "respondent"))
 
 
@@ -883,6 +886,241 @@ def build_tribunals(spark, d):
     return parts[0].select(*names).unionByName(parts[1].select(*names)).unionByName(parts[2].select(*names))
 
 
+# ---------------------------------------------------------------- pages in other forms
+
+
+@query("q_district_pages", """
+SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 2 THEN '' ELSE '"Acme ' || o_orderkey || '"' END AS petitioner, CASE o_orderkey % 5 WHEN 1 THEN '"B. Das", "C. Rao", "D. Sen"' ELSE '' END AS petitionerAdvocate,
+  CASE o_orderkey % 5 WHEN 2 THEN '' WHEN 3 THEN '"Orbit"' ELSE '' END AS respondent, CASE o_orderkey % 5 WHEN 0 THEN 'Pending' WHEN 1 THEN 'Disposed' ELSE 'Pending' END AS caseStatus,
+  CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN '[{"date":"05 MAR 2024","purpose":"Hearing","judge":"J One"}]' WHEN 4 THEN '[{"date":"02 JAN 2024","purpose":"Last","judge":"AB"}]' ELSE '' END AS listingHistory,
+  CASE o_orderkey % 5 WHEN 2 THEN 'sql_error' END AS parse_error
+FROM orders
+""")
+def district_pages(spark, d):
+    """Pages without tables, with labels that repeat, three columns of hearings, nested tables, an error, and names in the hit's label alone."""
+    n = F.col("o_orderkey")
+    k, kind = n.cast("string"), n % 5
+    name = F.concat(F.lit("1) Acme "), k)
+    page = (
+        F.when(kind == 0, F.concat(F.lit('<p>no tables</p><div class="x Petitioner_Advocate_table">'), name, F.lit(",<br></div><table><tr><td>Case Status</td><td>Case disposed</td></tr></table>")))
+        .when(kind == 1, F.concat(
+            F.lit('<table class="case_details_table"><tr><td>Case Type</td><td>A</td><td>Case Type :</td><td>B</td></tr></table><table class="case_status_table"><tr><th>Case Status</th><td>Case pending</td></tr><tr><td>Case Status:</td><td>Disposed of</td></tr></table>'),
+            F.lit('<div class="Petitioner_Advocate_table">'), name, F.lit("</br>advocate - B. Das, C. Rao<br>D.  Sen,<br>"), name, F.lit("</div>"),
+            F.lit('<table class="history_table"><tr><td> J  One </td><td>05-03-2024</td><td>Hearing</td></tr><tr><td>J</td><td>none</td><td>x</td></tr></table>'),
+        ))
+        .when(kind == 2, F.lit("<html><b>Sql error: lost</b></html>"))
+        .when(kind == 3, F.lit("<table class='case_details_table'><tr><td>only one cell</td></tr></table><!-- <table class='history_table'> -->"))
+        .otherwise(F.concat(
+            F.lit('<table class="history_table"><thead><tr><th>Purpose of hearing</th><th>Hearing  Date</th><th>Judge</th><th>x</th></tr></thead><tbody><tr><td>Last</td><td>02-01-2024&nbsp;</td><td>A<br>B</td><td><table><tr><td>in</td></tr></table></td></tr></tbody></table><div class="Petitioner_Advocate_table">'),
+            name, F.lit("</div>"),
+        ))
+    )
+    label = F.when(kind == 3, F.concat(F.lit("View case details, Acme "), k, F.lit("<br>Vs</br>Orbit")))
+    hits = spread(table(spark, d, "orders")).select(n.alias("k"), html.case_page(page, "dc").alias("detail"), label.alias("case_label"))
+    return builders.build_dc(hits, keep=("k", "detail")).select("k", "petitioner", "petitionerAdvocate", "respondent", "caseStatus", "listingHistory", F.col("detail.parse_error").alias("parse_error"))
+
+
+@query("q_build_on_demand", """
+SELECT o_orderkey AS k, 'DISTRICT_COURT (D)' AS courtType, CASE WHEN o_orderkey % 2 = 0 THEN 'R' || o_orderkey ELSE 'n' || o_orderkey END AS caseNumber, '09 JAN 2024' AS registrationDate, '"A"' AS petitioner, 'S' AS location, 'E' AS benchName,
+  '[{"date":"03 FEB 2024","purpose":"Final","judge":"J"}]' AS listingHistory FROM orders
+UNION ALL SELECT o_orderkey, 'HIGH_COURT (X)', CASE WHEN o_orderkey = 0 THEN '' ELSE 'WP/' || o_orderkey || '/2021' END, '05 FEB 2024', '"P"', 'INDIA', 'B', '[{"date":"01 MAR 2024","purpose":"Orders","judge":"J","orderUrl":"https://x/o.pdf"}]' FROM orders
+UNION ALL SELECT o_orderkey, 'SUPREME COURT', CASE WHEN o_orderkey % 2 = 0 THEN 'SLP ' || o_orderkey ELSE '' END, '07 MAR 2025', '"A B"', 'India', 'New Delhi', '' FROM orders
+""")
+def build_on_demand(spark, d):
+    """The three builders of the older form."""
+    n = F.col("o_orderkey")
+    k, base = n.cast("string"), spread(table(spark, d, "orders"))
+    dc_page_ = F.concat(
+        F.lit('<table class="case_details_table"><tr><td>Registration Number</td><td>'), F.when(n % 2 == 0, F.concat(F.lit("R"), k)).otherwise(F.lit("")), F.lit("</td><td>Registration Date</td><td>09-01-2024</td></tr></table>"),
+        F.lit('<div class="Petitioner_Advocate_table">1) A</div><table class="history_table"><tr><td>1</td><td>J</td><td>03-02-2024</td><td>04-02-2024</td><td>Final</td></tr></table>'),
+    )
+    dc = base.select(n.alias("k"), html.case_page(dc_page_, "dc_on_demand").alias("detail"), F.concat(F.lit("n"), k).alias("case_no"), F.lit("S").alias("state_name"), F.lit("D").alias("dist_name"), F.lit("E").alias("est_name"))
+    hc_page_ = F.lit(
+        '<table class="case_details_table"><tr><td>Filing Date</td><td>05-02-2024</td></tr></table><table class="order_table"><tr><td>1</td><td>a</td><td>b</td><td>01-03-2024</td><td><a href="/cases_qry/o.pdf">x</a></td></tr></table>'
+        '<table class="history_table"><tr><td>1</td><td>J</td><td>01-03-2024</td><td>05-03-2024</td><td>Orders</td></tr></table>'
+    )
+    hc = base.select(n.alias("k"), html.case_page(hc_page_, "hc").alias("detail"), F.lit("WP").alias("type_name"), k.alias("case_no2"), F.lit("2021").alias("case_year"), F.lit("P").alias("pet_name"), F.lit("X").alias("hc_name"), F.lit("B").alias("bench_name"))
+    main = F.concat(
+        F.lit("<table><tr><td>Diary Number</td><td>1/2025 Filed on 07-03-2025 10:00 AM</td></tr><tr><td>Case Number</td><td>"), F.when(n % 2 == 0, F.concat(F.lit("SLP "), k, F.lit(" Registered on 08-03-2025"))).otherwise(F.lit("none")),
+        F.lit("</td></tr><tr><td>Petitioner(s)</td><td>1 A  B</td></tr></table>"),
+    )
+    sc = base.select(n.alias("k"), html.sc_page(F.create_map(F.lit(""), main)).alias("detail"))
+    names = ("k", "courtType", "caseNumber", "registrationDate", "petitioner", "location", "benchName", "listingHistory")
+    made = [builders.build_dc_on_demand(dc, "q", keep=("k",)), builders.build_hc_on_demand(hc, "q", "https://x/", keep=("k",)), builders.build_sc_on_demand(sc, "q", keep=("k",))]
+    return made[0].select(*names).unionByName(made[1].select(*names)).unionByName(made[2].select(*names))
+
+
+@query("q_options", "SELECT n_nationkey AS k, CAST(CASE WHEN n_nationkey % 2 = 0 THEN 3 ELSE 2 END AS INT) AS n_all, 'v' || n_nationkey || '=' || n_name AS plain, CASE WHEN n_nationkey % 2 = 0 THEN '1^' || n_nationkey || '=M' ELSE '' END AS marked FROM nation")
+def options(spark, d):
+    """Lists of options with blank values, a 0, and values with a mark."""
+    k = F.col("n_nationkey").cast("string")
+    page = F.concat(F.lit('<select><option value="">Select</option><option value="0">All</option><option value=" v'), k, F.lit(' "> '), "n_name", F.lit("</option>"), F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit('<option value="1^'), k, F.lit('">M</option>'))).otherwise(F.lit("")), F.lit("<option>none</option></select>"))
+    shown = lambda o: F.concat(o["value"], F.lit("="), o["text"])
+    some = table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), html.options(page).alias("a"), html.options(page, zero=False).alias("b"), html.options(page, mark="^").alias("c"))
+    return some.select("k", F.size("a").alias("n_all"), shown(F.get("b", F.lit(0))).alias("plain"), F.array_join(F.transform("c", shown), ",").alias("marked"))
+
+
+@query("q_dc_hits", "SELECT o_orderkey AS k, 'N' || o_orderkey AS case_no, 'C' || o_orderkey AS cino, CASE WHEN o_orderkey % 2 = 0 THEN 'CScaseType' ELSE 'byParty' END AS search_by, 'View A' AS case_label, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'CS/' || o_orderkey || '/2024' END AS list_case_ref FROM orders")
+def dc_hits(spark, d):
+    """Links that open a case; those with fewer arguments or elsewhere are none."""
+    k, n = F.col("o_orderkey").cast("string"), F.col("o_orderkey")
+    row = F.concat(
+        F.lit("<table><tr><td>1</td><td>"), F.when(n % 3 == 0, F.lit("no ref")).otherwise(F.concat(F.lit("CS/"), k, F.lit("/2024"))), F.lit("</td><td><a href='#' aria-label='View A' onclick=\"viewHistory('N"), k, F.lit("', 'C"), k,
+        F.lit("','5','','flag','S','D','X'"), F.when(n % 2 == 0, F.lit("")).otherwise(F.lit(",'byParty'")), F.lit(")\">View</a></td></tr><tr><td><a href='#' onclick=\"viewHistory('a','b')\">x</a><a href='/' onclick=\"viewHistory(1,2,3,4,5,6,7,8)\">y</a></td></tr></table>"),
+    )
+    found = spread(table(spark, d, "orders")).select(n.alias("k"), F.explode(html.dc_hits(row)).alias("h"))
+    return found.select("k", "h.case_no", "h.cino", "h.search_by", "h.case_label", "h.list_case_ref")
+
+
+@query("q_sc_hits", "SELECT o_orderkey AS k, 'all' AS mode, CAST(o_orderkey AS VARCHAR) AS diary_no, '2024' AS diary_year, 'A B' AS petitioner FROM orders UNION ALL SELECT o_orderkey, 'all', 'x', '2023', 'Q' FROM orders UNION ALL SELECT o_orderkey, 'first', CAST(o_orderkey AS VARCHAR), '2024', 'A B' FROM orders")
+def sc_hits(spark, d):
+    """All rows of a result with a diary number, or the first alone."""
+    k = F.col("o_orderkey").cast("string")
+    page = F.concat(F.lit('<table><tr data-diary-no="1"><td>few</td></tr><tr data-diary-no="'), k, F.lit('" data-diary-year="2024"><td>1</td><td>d</td><td>c</td><td>A<br>B</td><td>R</td><td>PENDING</td></tr><tr data-diary-no="x" data-diary-year="2023"><td>1</td><td>d</td><td>c</td><td>Q</td><td>R</td><td>S</td></tr></table>'))
+    base = spread(table(spark, d, "orders")).select(F.col("o_orderkey").alias("k"), page.alias("page"))
+    parts = [base.select("k", F.lit(mode).alias("mode"), F.explode(html.sc_hits("page", first_only=mode == "first")).alias("h")) for mode in ("all", "first")]
+    return parts[0].unionByName(parts[1]).select("k", "mode", "h.diary_no", "h.diary_year", "h.petitioner")
+
+
+# ---------------------------------------------------------------- names and small values
+
+
+@query("q_compounds", "SELECT o_orderkey AS k, CASE o_orderkey % 4 WHEN 0 THEN 'ACME ' || o_orderkey || ' LTD' WHEN 1 THEN 'ORBIT ' || o_orderkey WHEN 2 THEN 'BANK ' || o_orderkey ELSE '' END AS entity, CASE o_orderkey % 4 WHEN 0 THEN 'Acme ' || o_orderkey || '<br>' ELSE '' END AS pet, CASE o_orderkey % 4 WHEN 0 THEN 'Orbit' ELSE '' END AS res, CASE o_orderkey % 4 WHEN 0 THEN 'a vs b' WHEN 1 THEN 'a' WHEN 2 THEN 'b' END AS title FROM orders".replace("'Acme ' || o_orderkey || '<br>'", "'Acme ' || o_orderkey"))
+def compounds(spark, d):
+    """entities in compounds, parties of a case's label, titles of two names."""
+    n = F.col("o_orderkey")
+    k, kind = n.cast("string"), n % 4
+    name = F.when(kind == 0, F.concat(F.lit("The Branch Manager of M/s Acme "), k, F.lit(" Ltd"))).when(kind == 1, F.concat(F.lit("Ram Das the liquidator for Orbit "), k)).when(kind == 2, F.concat(F.lit("Hari, Chairman at Bank "), k)).otherwise(F.lit("The manager of 77"))
+    label = F.when(kind == 0, F.concat(F.lit("View case history of 1, Acme "), k, F.lit("<br>Vs</br> Orbit"))).otherwise(F.lit("View case, A and B"))
+    pet, res = parties.split_case_label(label)
+    first, second = F.when(kind < 2, F.lit("a")).otherwise(F.lit("")), F.when((kind == 0) | (kind == 2), F.lit("b")).otherwise(F.lit(""))
+    return table(spark, d, "orders").select(n.alias("k"), parties.entity_in_compound(name).alias("entity"), pet.alias("pet"), res.alias("res"), parties.case_title(first, second).alias("title"))
+
+
+@query("q_small_parts", """
+SELECT event_id AS k, CASE WHEN user_id % 3 = 0 THEN CAST(event_id AS INT) END AS diary, CASE WHEN user_id % 3 = 0 THEN 2024 END AS diary_year, CASE WHEN user_id % 3 < 2 THEN '03-02-2024' ELSE '' END AS filed, user_id % 3 <> 1 AS header,
+  (least(user_id % 4, 3) + 1) || '/4 pct=' || printf('%.1f%%', CAST(user_id % 4 AS DOUBLE) / 4.0 * 100.0) || ' done=' || (user_id % 4) || ' left=' || (3 - user_id % 4) AS progress, (event_id + user_id % 3) || ',' || (event_id + user_id % 3 + 3) || ',' || (event_id + user_id % 3 + 6) AS numbers
+FROM events
+""")
+def small_parts(spark, d):
+    """Diary numbers, dates of filing, header rows, progress through years, and the numbers of one worker of three."""
+    k, u = F.col("event_id"), F.col("user_id")
+    diary = cases.diary_parts(F.when(u % 3 == 0, F.concat(F.lit(" "), k.cast("string"), F.lit("/2024"))).when(u % 3 == 1, F.lit("x/2024")).otherwise(F.lit("1/2/3")))
+    filed = dates.filed_on(F.when(u % 3 == 0, F.lit("1/2024 Filed  on 03-02-2024 10:30")).when(u % 3 == 1, F.lit("FILED ON 03-02-2024")).otherwise(F.lit("on 03-02-2024")))
+    header = cases.is_header_row(F.when(u % 3 == 0, F.lit("total_systems")).when(u % 3 == 1, F.lit(" 4")).otherwise(F.lit("3 PCs")), F.lit("2"))
+    return table(spark, d, "events").select(
+        k.alias("k"), diary["number"].alias("diary"), diary["year"].alias("diary_year"), filed.alias("filed"), header.alias("header"), cases.year_progress(F.lit(2024) - (u % 4).cast("int"), F.lit(2021), F.lit(2024)).alias("progress"),
+        F.array_join(F.transform(shard.strided(k, u % 3, F.lit(3), 3), lambda x: x.cast("string")), ",").alias("numbers"),
+    )
+
+
+@query("q_districts", "SELECT CASE n_nationkey % 4 WHEN 3 THEN 'D' || n_nationkey ELSE CAST(n_nationkey AS VARCHAR) END AS id, 'DCDRC - ' || CASE WHEN n_nationkey % 4 = 2 THEN CAST(n_nationkey AS VARCHAR) ELSE n_name END || ' (' || r_name || ')' AS name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 7")
+def districts(spark, d):
+    """States with lists of districts whose id and name go by one of several names; one has no id."""
+    k, name = F.col("n_nationkey"), F.col("n_name")
+    item = (
+        F.when(k == 7, F.create_map(F.lit("name"), name)).when(k % 4 == 0, F.create_map(F.lit("commissionId"), k.cast("string"), F.lit("commissionNameEn"), name))
+        .when(k % 4 == 1, F.create_map(F.lit("districtCommissionId"), F.lit(" "), F.lit("id"), k.cast("string"), F.lit("districtName"), name)).when(k % 4 == 2, F.create_map(F.lit("districtId"), k.cast("string"), F.lit("name"), F.lit("")))
+        .otherwise(F.create_map(F.lit("districtId"), F.concat(F.lit("D"), k.cast("string")), F.lit("districtNameEn"), name))
+    )
+    states = table(spark, d, "nation").groupBy("n_regionkey").agg(F.collect_list(item).alias("districts")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return joins.districts(states.select(F.col("r_name").alias("state"), "districts"))
+
+
+@query("q_cluster", "SELECT * FROM (VALUES ('headers', CAST(3 AS INT)), ('one cell', 4), ('nothing', 1)) t(layout, systems)")
+def cluster(spark, d):
+    """The number of systems in both layouts of a configuration."""
+    given = [("headers", ("DC Write Lock", "Total  Systems"), ("x|1", "three PCs")), ("one cell", ("4", ""), ("", "")), ("nothing", ("", ""), ("", ""))]
+    return spark.createDataFrame([(n, joins.cluster_systems(spark, a, b)) for n, a, b in given], "layout string, systems int")
+
+
+@query("q_nested_overflow", """
+WITH shown AS (SELECT event_id AS k, '{"kind":"' || event_type || '","user":' || user_id || ',"none":null}' AS j, CAST(unnest(range(CAST(ceil(length('{"kind":"' || event_type || '","user":' || user_id || ',"none":null}') / 20.0) AS BIGINT))) AS INT) AS part_no FROM events)
+SELECT k, part_no, substr(j, part_no * 20 + 1, 20) AS detail, CASE WHEN part_no = 0 THEN '["a",null]' ELSE '' END AS list FROM shown
+""")
+def nested_overflow(spark, d):
+    """Nested cells are JSON with their nulls before they are split."""
+    nested = F.struct(F.col("event_type").alias("kind"), F.col("user_id").alias("user"), F.lit(None).cast("string").alias("none"))
+    rows = table(spark, d, "events").select(F.col("event_id").alias("k"), nested.alias("detail"), F.array(F.lit("a"), F.lit(None).cast("string")).alias("list"))
+    return layout.split_overflow(rows, ["detail", "list"], 20)
+
+
+@query("q_run_counters", "SELECT count(*) AS started, count(*) FILTER (WHERE event_type = 'purchase') AS success, count(*) FILTER (WHERE event_type = 'error') AS failure, count(*) FILTER (WHERE event_type = 'view') AS duplicate FROM events")
+def run_counters(spark, d):
+    """What a run counted while it wrote its rows."""
+    t = F.col("event_type")
+    state = F.when(t == "purchase", F.lit("success")).when(t == "error", F.lit("failure")).when(t == "view", F.lit("duplicate")).otherwise(F.lit("other"))
+    seen = Observation()
+    reports.run_counters(table(spark, d, "events").select("event_id", state.alias("state")), seen).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([tuple(seen.get[n] for n in ("started", "success", "failure", "duplicate"))], "started long, success long, failure long, duplicate long")
+
+
+# ---------------------------------------------------------------- stores
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def settled(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """What a query read from a store of its own, which is deleted."""
+    out = cut_lineage(df)
+    delete(spark, path)
+    return out
+
+
+KEYED_SQL = f"keyed AS (SELECT k, {KEY_SQL} AS key FROM cases WHERE caseNumber <> '')"
+
+
+@query("q_append", f"WITH {KEYED_SQL}, firsts AS (SELECT key, coalesce(min(k) FILTER (WHERE k % 2 = 0), min(k)) AS k, CASE WHEN count(*) FILTER (WHERE k % 2 = 0) > 0 THEN 1 ELSE 2 END AS batch FROM keyed GROUP BY key) SELECT key, k, CAST(count(*) OVER (PARTITION BY batch) AS BIGINT) AS reported FROM firsts")
+def append(spark, d):
+    """Two batches into a store, of which the second holds all keys of the first again; each reports how many rows were new."""
+    v = case_view(spark, d).where("caseNumber <> ''")
+    keyed = v.withColumn("key", dedup.key_of(v)).select("key", "k")
+    path = scratch(spark, "append")
+    new = [dedup.write_cases(keyed.where("k % 2 = 0"), path, ["k"]), dedup.write_cases(keyed, path, ["k"])]
+    stored = spark.read.parquet(path)
+    first = keyed.where("k % 2 = 0").select("key").distinct().withColumn("_first", F.lit(True))
+    marked = stored.join(first, "key", "left").select("key", "k", F.when(F.col("_first"), F.lit(new[0])).otherwise(F.lit(new[1])).cast("long").alias("reported"))
+    return settled(spark, path, marked)
+
+
+@query("q_key_cache", f"WITH {KEYED_SQL} SELECT key, CAST(row_number() OVER (ORDER BY key) - 1 AS BIGINT) AS place FROM (SELECT DISTINCT key FROM keyed)")
+def key_cache(spark, d):
+    """Keys written in order, one a line, and read back with their place in the files."""
+    v = case_view(spark, d).where("caseNumber <> ''")
+    path = scratch(spark, "keys")
+    dedup.write_keys(v.select(dedup.key_of(v).alias("key")), path)
+    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"), F.trim("value").alias("key"))
+    placed = layout.number_rows(lines, ["file", "line"], "place").join(dedup.read_keys(spark, path), "key")
+    return settled(spark, path, placed.select("key", "place"))
+
+
+@query("q_write_modes", "SELECT o_orderkey AS k, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 499) AS BIGINT) AS page_no, CAST(2 AS BIGINT) AS times FROM orders")
+def write_modes(spark, d):
+    """K2, K3: pages that are cleared by the second write and grow by the third."""
+    paged = layout.paginate(layout.number_rows(table(spark, d, "orders").select(F.col("o_orderkey").alias("k")), ["k"]), page_rows=500)
+    path = scratch(spark, "pages")
+    for mode in ("overwrite", joins.output_mode(""), joins.output_mode("append mode")):
+        layout.write_pages(paged, path, ["page_no"], mode)
+    return settled(spark, path, spark.read.parquet(path).groupBy("k", "page_no").agg(F.count("*").alias("times")).select("k", F.col("page_no").cast("long").alias("page_no"), "times"))
+
+
+# ---------------------------------------------------------------- streams
+
+
+@query("q_stream_ingest", "SELECT user_id || '|' || event_type AS key, min(event_id) AS event_id FROM events GROUP BY user_id, event_type")
+def stream_ingest(spark, d):
+    """A stream of files is taken in until it is empty, twice over: the store holds each key once."""
+    schema_ = table(spark, d, "events").schema
+    path = scratch(spark, "stream")
+    key = F.concat_ws("|", F.col("user_id").cast("string"), "event_type")
+    for n in range(2):
+        stream = spark.readStream.schema(schema_).parquet(f"{d}/event[s].parquet")  # a pattern may also name a single file
+        ingest.ingest(stream, lambda b: b.select(key.alias("key"), "event_id"), f"{path}/store", f"{path}/checkpoint{n}", ["event_id"]).awaitTermination()
+    return settled(spark, path, spark.read.parquet(f"{path}/store").select("key", "event_id"))
+
+
 # ---------------------------------------------------------------- streams (as tables)
 
 
