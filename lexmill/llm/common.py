@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from lexmill.storage import delete, shared_folder
+
 #: The bytes that count as white space in words and line keys: space, and tab to carriage return.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -27,19 +28,6 @@ def ascii_lower(text: str) -> str:
     return text.lower() if text.isascii() else text.translate(_TO_LOWER)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: the context's checkpoint folder, or the one ``spark.checkpoint.dir`` names. It is a folder of our own in local mode alone, as in tests."""
-    context = spark.sparkContext
-    known = context._jsc.sc().getCheckpointDir()
-    if not known.isDefined():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not (context.master or "").split("[")[0] == "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexmill-checkpoint-"))
-        known = context._jsc.sc().getCheckpointDir()
-    return known.get()
-
-
 def _release(spark: SparkSession) -> None:
     """Spark deletes shuffle files once the driver has collected the plans they belong to as garbage, which a driver with much memory seldom does."""
     gc.collect()
@@ -75,12 +63,6 @@ class Written:
         delete(self.spark, self.at)
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    context = spark.sparkContext
-    where = context._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
