@@ -8,6 +8,8 @@ its lines, not text.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,11 +92,41 @@ def bitmap_mask(words: Column) -> Column:
     return F.encode(F.array_join(F.transform(words, text), ""), "UTF-8")
 
 
+#: Bits of a filter for each text that loses a line, and of the largest filter that is made: 4 MB, for 4 million texts.
+FILTER_BITS, MOST_BITS = 8, 25
+
+
+def maybe_marked(docs: DataFrame, marks: DataFrame, id_col: str) -> DataFrame | None:
+    """``docs`` with ``_maybe``, false only for texts without a mark, by a bitmap that is sent to all tasks; None for more marks than the largest one is good for.
+
+    ``marks`` has _doc and _body, ``docs`` the id and _own. A bitmap is a row for each 32,768 places, so at most 1,024 rows.
+    """
+    count = marks.count()
+    bits = max(15, math.ceil(math.log2(FILTER_BITS * max(1, count))))
+    if bits > MOST_BITS:
+        return None
+    place = lambda doc, body: F.pmod(F.xxhash64(doc, body), F.lit(1 << bits)) + 1
+    slots = marks.select(place("_doc", "_body").alias("p")).select(F.bitmap_bucket_number("p").alias("_bucket"), F.bitmap_bit_position("p").alias("at"))
+    bitmap = slots.groupBy("_bucket").agg(F.bitmap_construct_agg("at").alias("_bitmap"))
+    placed = docs.withColumn("_at", F.bitmap_bit_position(place(id_col, "_own"))).withColumn("_bucket", F.bitmap_bucket_number(place(id_col, "_own")))
+    byte = F.conv(F.hex(F.substring(F.col("_bitmap"), (F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.expr("shiftright(_byte, cast(_at % 8 as int)) & 1")
+    found = placed.join(F.broadcast(bitmap), "_bucket", "left").withColumn("_byte", byte)
+    return found.withColumn("_maybe", F.coalesce(bit, F.lit(0)) == 1).drop("_bucket", "_bitmap", "_byte", "_at")
+
+
 def drop_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs``, the text without its dropped lines, with n_lines (before) and n_dropped in one struct ``_lines``."""
-    marks = bitmaps.select(F.col("doc").alias("_doc"), F.col("body").alias("_body"), bitmap_mask(F.col("words")).alias("_mask"))
-    body = F.xxhash64(F.col(text_col))
-    joined = docs.withColumn("_own", body).join(marks, (F.col(id_col) == F.col("_doc")) & (F.col("_own") == F.col("_body")), "left")
+    """All rows and columns of ``docs``, the text without its dropped lines, with n_lines (before) and n_dropped in one struct ``_lines``.
+
+    Only texts that a filter of the marked ones lets pass are moved to their bitmaps, while such a filter is small enough to be sent to all tasks.
+    """
+    marks = cut_lineage(bitmaps.select(F.col("doc").alias("_doc"), F.col("body").alias("_body"), bitmap_mask(F.col("words")).alias("_mask")))
+    own = docs.withColumn("_own", F.xxhash64(F.col(text_col)))
+    split = maybe_marked(own, marks, id_col)
+    moved = split.where("_maybe").drop("_maybe") if split is not None else own
+    joined = moved.join(marks, (F.col(id_col) == F.col("_doc")) & (F.col("_own") == F.col("_body")), "left").drop("_doc", "_body")
+    if split is not None:
+        joined = joined.unionByName(split.where(~F.col("_maybe")).drop("_maybe").withColumn("_mask", F.lit(None).cast("binary")))
     lines = split_lines(text_col)
     kept = F.when(F.col("_mask").isNull(), lines).otherwise(F.filter(lines, lambda x, i: F.coalesce(F.substring(F.col("_mask"), i + 1, F.lit(1)), F.lit(b"")) != F.lit(b"0")))
     out = joined.withColumn("_n", F.size(lines)).withColumn("_kept", kept)

@@ -176,6 +176,24 @@ def test_lines_are_decided_from_the_sorted_range_partitions(spark):
     assert "doc#" in above.split("Sort [")[1] and "pos#" in above.split("Sort [")[1] and "REPARTITION_BY_NUM" in below
 
 
+def test_marked_texts_pass_the_bitmap(spark):
+    marks = spark.createDataFrame([(i * 37, i * i - 50) for i in range(2000)], "_doc long, _body long")
+    docs = marks.selectExpr("_doc as doc_id", "_body as _own").unionByName(spark.range(2000).selectExpr("id + 1000000 as doc_id", "id as _own"))
+    got = lines.maybe_marked(docs, marks, "doc_id")
+    assert got.columns == ["doc_id", "_own", "_maybe"] and got.count() == 4000
+    assert got.where("doc_id < 1000000 and _maybe").count() == 2000 and got.where("doc_id >= 1000000 and _maybe").count() < 400
+    none = lines.maybe_marked(docs, marks.limit(0), "doc_id")
+    assert none.where("_maybe").count() == 0
+
+
+def test_lines_without_a_filter(spark, monkeypatch):
+    rows = odd_rows()
+    key = lambda r: str((r["doc_id"], r["text"], r["_lines"]))
+    want = sorted(map(key, lines.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()))
+    monkeypatch.setattr(lines, "MOST_BITS", 0)
+    assert sorted(map(key, lines.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect())) == want
+
+
 def test_lines_of_odd_rows(spark):
     rows = odd_rows()
     out = lines.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()
