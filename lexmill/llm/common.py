@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
 from lexmill.storage import delete, shared_folder
 
@@ -96,6 +96,27 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def text_column(spark: SparkSession, text: Column, kind: T.DataType, make: Callable[[], Callable[[list], list]], rows: int = 256) -> Column:
+    """A column that a function of slices of at most ``rows`` texts gives. The texts alone go to Python and its results alone come back; other columns stay where they are.
+
+    ``make`` runs once in each worker.
+    """
+    bound_batches(spark)
+    made, held = to_arrow_type(kind), []
+
+    @F.arrow_udf(kind)
+    def run(texts: pa.Array) -> pa.Array:
+        if not held:
+            held.append(make())
+        out = []
+        for at in range(0, len(texts), rows):
+            out += held[0](texts.slice(at, rows).to_pylist())
+        give_back()
+        return pa.array(out, made)
+
+    return run(text)
+
+
 def map_rows(df: DataFrame, schema: T.StructType, make: Callable[[], Callable[[dict[str, list]], dict]], rows: int = 256) -> DataFrame:
     """Applies a function of column lists to slices of at most ``rows`` rows, so that memory follows the slice and not the Arrow batch.
 

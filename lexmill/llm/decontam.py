@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.common import cut_lineage, fields, map_rows
+from lexmill.llm.common import cut_lineage, fields, map_rows, text_column
 from lexmill.llm.winnowing import code_points, rolling_hashes
 
 Q = 10
@@ -197,16 +197,9 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float =
     if block is None:
         return docs
     if after is None:
-        index, names = build_index(block, q, rate), docs.columns
-
-        def make():
-            def work(cols: dict[str, list]) -> dict:
-                clean = [i for i, text in enumerate(cols[text_col]) if not find(text or "", index)]
-                return {n: [cols[n][i] for i in clean] for n in names}
-
-            return work
-
-        return map_rows(docs, docs.schema, make)
+        index = build_index(block, q, rate)
+        clean = text_column(docs.sparkSession, F.col(text_col), T.BooleanType(), lambda: lambda texts: [not find(x or "", index) for x in texts])
+        return docs.where(clean)
     mark = [F.xxhash64(F.col(text_col)), F.xxhash64(F.lit(2), F.col(text_col))]
     own = {f"_mark{i}": c for i, c in enumerate(mark)}
     texts = docs.select(text_col).withColumns(own).select(F.struct(*own).alias("_marks"), text_col)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.common import crc_mod, fields, map_rows
+from lexmill.llm.common import crc_mod, text_column
 
 SEGMENT = 96
 PAD = 256
@@ -205,21 +205,19 @@ def identify(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_
 
     ``und`` with score 0 for a null text, a text without any letter, or without a network. Texts of any length are read whole. Repeated rows have a row each.
     """
-    chosen = docs.select(id_col, text_col, *[c for c in keep if c not in (id_col, text_col)])
-    names = [id_col, *[c for c in keep if c != id_col]]
-    schema = fields(chosen, *names, lang_pred=T.StringType(), score=T.DoubleType())
+    kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def make():
-        def work(cols: dict[str, list]) -> dict:
-            texts = cols[text_col]
+        def work(texts: list) -> list:
             known = [i for i, x in enumerate(texts) if net and x and has_letter(x)]
-            found, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
+            out = [{"lang_pred": UNKNOWN, "score": 0.0}] * len(texts)
             if known:
                 p = pooled(net, [texts[i].encode() for i in known])
                 for i, row in zip(known, p, strict=True):
-                    found[i], score[i] = net.labels[int(row.argmax())], float(min(1.0, row.max()))
-            return {n: cols[n] for n in names} | {"lang_pred": found, "score": score}
+                    out[i] = {"lang_pred": net.labels[int(row.argmax())], "score": float(min(1.0, row.max()))}
+            return out
 
         return work
 
-    return map_rows(chosen, schema, make, rows=192)
+    found = text_column(docs.sparkSession, F.col(text_col), kind, make, rows=192)
+    return docs.select(id_col, *[c for c in keep if c != id_col], found.alias("_found")).select(id_col, *[c for c in keep if c != id_col], "_found.lang_pred", "_found.score")
