@@ -505,6 +505,12 @@ def shards(spark, d):
     return shard.assign_shards(table(spark, d, "nation"), ["n_nationkey"], 4).select("n_nationkey", "shard")
 
 
+@query("q_slice", "SELECT c_custkey FROM (SELECT c_custkey, ntile(7) OVER (ORDER BY c_custkey) AS shard FROM customer) WHERE shard = 2")
+def one_slice(spark, d):
+    """One shard's items."""
+    return shard.slice_for(table(spark, d, "customer").select("c_custkey"), ["c_custkey"], 2, 7)
+
+
 @query("q_task_grid", """
 WITH bench(b, bo) AS (SELECT unnest([10, 9, 13, 1, 12, 4, 8, 11, 3, 5, 6, 7, 14, 15, 2]), unnest(range(15)))
 SELECT CAST(b AS INT) AS bench_id, CAST(y AS INT) AS year, p AS pt_code, s AS st_code, CAST(((bo * 3 + (y - 2020)) * 2 + po) * 2 + so AS INT) AS unit
