@@ -14,7 +14,7 @@ from lexmill.functions.core import pick
 from lexmill.operators import continuation, dedup, joins, layout, search, shard
 from lexmill.plans import reports
 from lexmill.plans.caseview import CASES_PLAIN, case_view, spread, table
-from lexmill.sources import builders, courts, html, payloads
+from lexmill.sources import builders, courts, html, payloads, registry
 from lexmill.storage import cut_lineage, delete, shared_folder
 from lexmill.streaming import ingest
 
@@ -892,6 +892,17 @@ def build_tribunals(spark, d):
     return parts[0].select(*names).unionByName(parts[1].select(*names)).unionByName(parts[2].select(*names))
 
 
+@query("q_registry", "SELECT 'nclt' AS source, 'C ' || o_orderkey AS caseNumber, 'NCLT' AS courtType, 'asked' AS partyName FROM orders UNION ALL SELECT 'drt', CAST(o_orderkey AS VARCHAR), 'DRT', 'asked' FROM orders")
+def from_registry(spark, d):
+    """Sources by their names, of which one is not known; each builds its rows by what the registry has for it."""
+    k = F.col("o_orderkey").cast("string")
+    base = table(spark, d, "orders")
+    payload_of = {"nclt": base.select(F.concat(F.lit("C "), k).alias("case_no"), F.lit("{}").alias("detail")), "drt": base.select(F.concat(F.lit('{"caseno": "'), k, F.lit('"}')).alias("detail"))}
+    known, unknown = registry.known_sources(["nclt", "elsewhere", "drt"])
+    parts = [source.build(payload_of[source.name], "asked").select(F.lit(source.name).alias("source"), "caseNumber", "courtType", "partyName") for source in known]
+    return parts[0].unionByName(parts[1]).where(F.lit(unknown == ["elsewhere"]))
+
+
 # ---------------------------------------------------------------- pages in other forms
 
 
