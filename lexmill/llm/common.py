@@ -20,12 +20,6 @@ from lexmill.storage import delete, shared_folder
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
-_TO_LOWER = {ord(u): low for u, low in zip(UPPER, LOWER, strict=True)}
-
-
-def ascii_lower(text: str) -> str:
-    """Lower-cases A-Z alone."""
-    return text.lower() if text.isascii() else text.translate(_TO_LOWER)
 
 
 def _release(spark: SparkSession) -> None:
