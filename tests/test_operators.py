@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from lexmill import schema
-from lexmill.functions import dates
 from lexmill.operators import continuation, dedup, joins, layout, search, shard
 from lexmill.plans import reports
 from lexmill.sources import builders, courts, html, payloads, registry
