@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.core import is_blank
 from lexmill.schema import CASE_COLUMNS, HISTORY_FIELDS, KEY_FIELDS, PARTY_FIELDS, PRIMARY_FIELDS
+from lexmill.storage import cut_lineage
 
 
 def any_filled(df: DataFrame, names) -> Column:
@@ -33,21 +34,25 @@ def row_groups(rows: DataFrame, page: str = "page_id", row: str = "row_no") -> D
     return owned.where(F.col("_start").isNotNull()).groupBy(page, F.col("_start").alias("start_row")).agg(F.max(row).alias("end_row"), *first, *extra)
 
 
-def near_hits(marks: DataFrame, hit: str, page: str) -> DataFrame:
-    """The marks of the pages that have a hit: the others are not dealt out at all."""
-    return marks.join(marks.where(hit).select(page).distinct(), page, "left_semi")
+def hit_rows(rows: DataFrame, matched: Column, page: str = "page_id", row: str = "row_no") -> DataFrame:
+    """The first phase of a search: the places of the rows that match, from a scan of the columns that the test reads. They are written, as the second phase reads them twice."""
+    return cut_lineage(rows.where(F.coalesce(matched, F.lit(False))).select(page, row))
 
 
-def matched_runs(rows: DataFrame, matched: Column, page: str = "page_id", row: str = "row_no") -> DataFrame:
-    """The matched rows and the run of rows that follows each: with a history field and without a primary one. Adds ``_is_continuation``.
+def marks_of(rows: DataFrame, hits: DataFrame, page: str, row: str, **flags: Column) -> DataFrame:
+    """Places with the flags and ``_match``, of the pages that have a hit: the others are not dealt out at all."""
+    near = rows.select(page, row, *[c.alias(n) for n, c in flags.items()]).join(hits.select(page).distinct(), page, "left_semi")
+    return near.join(hits.select(page, row).withColumn("_hit", F.lit(True)), [page, row], "left").withColumn("_match", F.coalesce("_hit", F.lit(False))).drop("_hit")
 
-    Rows inside a run are not matched anew. A run ends at the first row that is not such a one; that row may match itself. Two phases: the rows' marks alone are
-    dealt by page, those of pages with a match, and all columns are then fetched for the places that were found.
+
+def matched_runs(rows: DataFrame, hits: DataFrame, page: str = "page_id", row: str = "row_no") -> DataFrame:
+    """The rows at the places ``hits`` and the run of rows that follows each: with a history field and without a primary one. Adds ``_is_continuation``.
+
+    Rows inside a run are not matched anew. A run ends at the first row that is not such a one; that row may match itself. The second phase of a search: flags of the
+    pages with a hit are dealt by page, and all columns are then fetched for the places that were found.
     """
-    breaks = any_filled(rows, PRIMARY_FIELDS) | ~any_filled(rows, HISTORY_FIELDS)
-    marks = rows.select(page, row, F.coalesce(matched, F.lit(False)).alias("_match"), breaks.alias("_break"))
-    order = Window.partitionBy(page).orderBy(row)
-    islands = near_hits(marks, "_match", page).withColumn("_island", F.sum(F.col("_break").cast("int")).over(order))
+    marks = marks_of(rows, hits, page, row, _break=any_filled(rows, PRIMARY_FIELDS) | ~any_filled(rows, HISTORY_FIELDS))
+    islands = marks.withColumn("_island", F.sum(F.col("_break").cast("int")).over(Window.partitionBy(page).orderBy(row)))
     first = F.min(F.when(F.col("_match"), F.col(row))).over(Window.partitionBy(page, "_island"))
     places = islands.withColumn("_first", first).where(F.col(row) >= F.col("_first")).select(page, row, (F.col(row) > F.col("_first")).alias("_is_continuation"))
     return rows.join(places, [page, row])
@@ -63,14 +68,11 @@ def blank_continuations(rows: DataFrame, query: str) -> DataFrame:
     return out
 
 
-def carried_fate(rows: DataFrame, matched: Column, page: str = "page_id", row: str = "row_no") -> DataFrame:
-    """Rows with a party are kept if they match; rows without one share the fate of the last row before them that has one, and go if there is none. In two phases, as above."""
-    order = Window.partitionBy(page).orderBy(row)
-    party = any_filled(rows, PARTY_FIELDS)
-    marks = rows.select(page, row, party.alias("_party"), (party & F.coalesce(matched, F.lit(False))).alias("_match"))
-    fate = F.last(F.when(F.col("_party"), F.col("_match")), ignorenulls=True).over(order)
-    kept = near_hits(marks, "_match", page).withColumn("_kept", fate).where("_kept").select(page, row)
-    return late_rows(rows, kept, [page, row])
+def carried_fate(rows: DataFrame, hits: DataFrame, page: str = "page_id", row: str = "row_no") -> DataFrame:
+    """Rows with a party are kept if they are at one of the places ``hits``; rows without one share the fate of the last row before them that has one, and go if there is none."""
+    marks = marks_of(rows, hits, page, row, _party=any_filled(rows, PARTY_FIELDS))
+    fate = F.last(F.when(F.col("_party"), F.col("_match")), ignorenulls=True).over(Window.partitionBy(page).orderBy(row))
+    return late_rows(rows, marks.withColumn("_kept", fate).where("_kept").select(page, row), [page, row])
 
 
 def late_rows(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:

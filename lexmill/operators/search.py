@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import company
 from lexmill.functions.core import text
 from lexmill.functions.parties import decode_names, matches_any, normalize_party_name
-from lexmill.operators.continuation import blank_continuations, carried_fate, matched_runs
+from lexmill.operators.continuation import blank_continuations, carried_fate, hit_rows, matched_runs
 from lexmill.schema import PARTY_FIELDS
+from lexmill.storage import cut_lineage
 
 
 def project(rows: DataFrame, wanted) -> DataFrame:
@@ -32,7 +35,7 @@ def individual_match(rows: DataFrame, query: str) -> Column:
 
 def search_individual(rows: DataFrame, query: str, page: str = "page_id", row: str = "row_no") -> DataFrame:
     """The rows that mention a person, with their continuation rows, in the shape of a result. The pattern is a literal, so that no Python runs."""
-    return blank_continuations(matched_runs(rows, individual_match(rows, query), page, row), query)
+    return blank_continuations(matched_runs(rows, hit_rows(rows, individual_match(rows, query), page, row), page, row), query)
 
 
 def search_company(rows: DataFrame, query: str, plan: company.Plan | None = None, page: str = "page_id", row: str = "row_no") -> DataFrame:
@@ -44,9 +47,8 @@ def search_company(rows: DataFrame, query: str, plan: company.Plan | None = None
     names = party_fields(rows)
     listed = F.array_distinct(F.filter(F.array(*[text(c) for c in names]), lambda c: (c != "") & company.worth_a_look(c, plan)))
     cells = rows.select(page, row, F.explode(listed).alias("cell"))
-    places = cells.join(company.matched_cells(cells, "cell", plan), "cell", "left_semi").select(page, row).distinct().withColumn("_hit", F.lit(True))
-    marked = rows.join(places, [page, row], "left")
-    return blank_continuations(matched_runs(marked, F.coalesce("_hit", F.lit(False)), page, row).drop("_hit"), query)
+    hits = cut_lineage(cells.join(company.matched_cells(cells, "cell", plan), "cell", "left_semi").select(page, row).distinct())
+    return blank_continuations(matched_runs(rows, hits, page, row), query)
 
 
 def name_in_cell(cell: Column | str, wanted: Column) -> Column:
@@ -62,7 +64,9 @@ def filter_exact(rows: DataFrame, query: str, entity: str, page: str = "page_id"
     wanted = spark.range(1).select(normalize_party_name(F.lit(query)).alias("q")).first()["q"]
     if not wanted:
         return rows
+    # No rule makes the letters and digits of a word, but for INDIA: the longest word stands in a cell that has the name, which is cheap to see first.
+    word = max((w for w in re.findall("[A-Z0-9]+", wanted) if w != "INDIA"), key=len, default="")
     test = F.lit(False)
     for c in party_fields(rows):
-        test = test | name_in_cell(c, F.lit(wanted))
-    return carried_fate(rows, test, page, row)
+        test = test | (F.upper(text(c)).contains(word) & name_in_cell(c, F.lit(wanted)))
+    return carried_fate(rows, hit_rows(rows, test, page, row), page, row)

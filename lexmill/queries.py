@@ -1160,7 +1160,8 @@ PARTY = "Machinery 13 Traders"
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A party's cases: search, exact names, the first of each key, and counts by court."""
     v = case_view(spark, sf_dir, costly=True).withColumn("partyName", F.lit(""))
-    found = search.filter_exact(search.search_individual(v, PARTY), PARTY, "individual").where("not _is_continuation")
+    hits = cut_lineage(search.search_individual(v, PARTY))  # what a search found is read by each step after it
+    found = search.filter_exact(hits, PARTY, "individual").where("not _is_continuation")
     keyed = found.withColumn("key", dedup.key_of(found))
     return reports.court_counts(dedup.first_of(keyed, "key", ["page_id", "row_no"]))
 

@@ -38,7 +38,7 @@ def test_ranges(spark):
 
 def test_fate(spark):
     rows = rows_of(spark, [("",), ("m",), ("",), ("x",), ("",), ("m",), ("",)], petitioner=0)
-    kept = continuation.carried_fate(rows, F.col("petitioner") == "m")
+    kept = continuation.carried_fate(rows, continuation.hit_rows(rows, F.col("petitioner") == "m"))
     assert sorted(r["row_no"] - 1 for r in kept.collect()) == [2, 3, 6, 7]
 
 
@@ -46,7 +46,7 @@ def test_runs_against_a_sequential_model(spark):
     rng = random.Random(3)
     values = [(rng.choice(["", "n"]), rng.choice(["", "", "q"]), rng.choice(["", "h"])) for _ in range(600)]
     rows = rows_of(spark, values, caseNumber=0, otherRespondent=0, listingHistory=0)
-    got = sorted((r["row_no"], r["_is_continuation"]) for r in continuation.matched_runs(rows, F.col("otherRespondent") == "q").collect())
+    got = sorted((r["row_no"], r["_is_continuation"]) for r in continuation.matched_runs(rows, continuation.hit_rows(rows, F.col("otherRespondent") == "q")).collect())
     want, i = [], 0
     while i < len(values):
         if values[i][1] == "q":
@@ -64,6 +64,8 @@ def test_search_and_exact_filter(spark):
     assert sorted((r["row_no"], r["partyName"]) for r in found.collect()) == [(2, "Ram Das"), (3, ""), (4, "Ram Das"), (5, "Ram Das")]
     assert sorted(r["row_no"] for r in search.filter_exact(found, "Mr. Ram Das", "individual").collect()) == [2, 3, 5]
     assert search.filter_exact(found, "Ram Das", "company").count() == 4
+    odd = rows_of(spark, [("1", "M/s. Acme (I) Ltd &amp; Ors"), ("2", "ACME (INDIA) LTD"), ("3", '"Zed", "acme  (i) ltd."'), ("4", "Acme Ltd")], caseNumber=0, petitioner=0)
+    assert sorted(r["row_no"] for r in search.filter_exact(odd, "Acme (India) Ltd", "individual").collect()) == [2, 3, 4]
     firm = rows_of(spark, [("1", "Acme Foods Pvt Ltd", ""), ("", "", "h"), ("2", "Zed", "")], caseNumber=0, petitioner=0, listingHistory=0)
     assert sorted(r["row_no"] for r in search.search_company(firm, "Acme Foods Private Limited").collect()) == [2, 3]
 
