@@ -179,6 +179,21 @@ def test_options(spark):
     assert [x["value"] for x in got["a"]] == ["0", "3^a"] and [x["text"] for x in got["b"]] == ["Three"] and len(got["c"]) == 1 and got["d"] == got["e"] == [] and got["f"] == "aé"
 
 
+def test_titles_as_in_sql(spark, tmp_path):
+    pages = [
+        None, "", "no title", "<title> a </title>", "<title></title><title>b</title>", "<TITLE>a</TITLE>", '<title lang="x">a</title>', "<title>a</title >", "<title>a", "<!--<title>c</title>--><title>d</title>",
+        "<title>a<b>c</b></title><title>z</title>", "<title>a\n b\t</title>", "<title>a &amp;&amp</title>", "<title>token = &quot;x&quot; &#38;lt; &nbsp;</title>", "<title>&amp;lt;&amp;amp;&lt;b&gt;</title>",
+        "<title>&&lt;amp;&&amp;gt;amp;</title>", "<title>\xa0\u2003x\u3000 </title>", "<title>\u200bx\r\x85</title>", "<title>$1 \\1</title>", f"<title>{'q' * 300000} </title>",
+    ]
+    spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    sql = __spark_entry__.oracle_sql()["q_html_titles"]
+    want = con.execute(sql[sql.rindex("SELECT page_id") :]).fetchall()
+    got = [tuple(r) for r in __spark_entry__.queries()["q_html_titles"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(want) and dict(got)[0] is None and dict(got)[12] == "a &&amp"
+
+
 def test_builders(spark):
     hit = spark.createDataFrame([(PAGE, "C1", None, "view case x, P<br>Vs</br>R", "st", "di")], "page string, cino string, case_no string, case_label string, state_name string, dist_name string")
     dc = builders.build_dc(hit.withColumn("detail", html.case_page("page", "dc"))).first()
